@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .huffman import op7_huffman_ids
+from .phrase_index import op9_phrase_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_huffman_ids": op7_huffman_ids,
+    "op9_phrase_index": op9_phrase_index,
 }
 ORACLE_SQL: dict[str, str] = {}
