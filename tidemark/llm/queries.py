@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .huffman import op7_huffman_ids
+from .lsh_forest import op2_minhash_forest
 from .phrase_index import op9_phrase_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash_forest": op2_minhash_forest,
     "op7_huffman_ids": op7_huffman_ids,
     "op9_phrase_index": op9_phrase_index,
 }
