@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .huffman import op7_huffman_ids
+from .hyperlang import op8_hyperdimensional_langid
 from .lsh_forest import op2_minhash_forest
 from .phrase_index import op9_phrase_index
+from .piece_lattice import op10_piece_lattice
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_forest": op2_minhash_forest,
     "op7_huffman_ids": op7_huffman_ids,
+    "op8_hyperdimensional_langid": op8_hyperdimensional_langid,
     "op9_phrase_index": op9_phrase_index,
+    "op10_piece_lattice": op10_piece_lattice,
 }
 ORACLE_SQL: dict[str, str] = {}
