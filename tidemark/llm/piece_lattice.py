@@ -93,8 +93,7 @@ class Lattice:
         return tk.word_hashes(data, ends - np.array([len(p) for p in parts]), ends, _ALL)
 
     def clear(self) -> None:
-        self.units = np.zeros(0, np.uint64)
-        self.end_node = np.zeros(0, np.int64)
+        self.end_node = tk.HashTable()
         self.key, self.back, self.piece = np.zeros(0), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.nodes = 0
 
@@ -169,24 +168,13 @@ class Lattice:
         last = np.append(first[1:], len(b)) - 1
         within[last] = 1.0
         is_root = a == begins[unit] + unit
-        if len(self.key) + len(a) > CACHE_EDGES and len(self.key):
-            self.clear()
         shift = self.nodes
         self.key = np.concatenate((self.key, b + shift + within))
         self.back = np.concatenate((self.back, np.where(is_root, -1, a + shift).astype(np.int32)))
         self.piece = np.concatenate((self.piece, piece.astype(np.int32)))
-        order = np.argsort(np.concatenate((self.units, hashes)), kind="stable")
-        self.end_node = np.concatenate((self.end_node, ends + np.arange(len(pieces)) + shift))[order]
-        self.units = np.concatenate((self.units, hashes))[order]
+        self.end_node.add(hashes, ends + np.arange(len(pieces)) + shift)
         self.nodes += total + 1
 
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(end node, known) of units."""
-        if not len(self.units):
-            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.units, hashes), len(self.units) - 1)
-        return self.end_node[at], self.units[at] == hashes
-
     def sample_long(self, raw: bytes, draw) -> list[int]:
         """One long unit, in the logarithms; draw(step) gives the uniform numbers."""
         data = np.frombuffer(raw, np.uint8)
@@ -236,19 +224,15 @@ class Lattice:
 
         long = end - start > LONG
         short = np.flatnonzero(~long)
-        distinct, first, inverse = np.unique(hashes[short], return_index=True, return_inverse=True)
-        _, known = self.find(distinct)
-        fresh = np.flatnonzero(~known)
-        if len(fresh):
-            raw = data.tobytes()
-            spots = short[first]
-            cleared = len(self.key)
-            self.add(distinct[fresh], [raw[x:y] for x, y in zip(start[spots[fresh]].tolist(), end[spots[fresh]].tolist())])
-            if len(self.key) < cleared or not cleared:
-                rest = np.flatnonzero(~self.find(distinct)[1])
-                if len(rest):  # the table was emptied to make room
-                    self.add(distinct[rest], [raw[x:y] for x, y in zip(start[spots[rest]].tolist(), end[spots[rest]].tolist())])
-        node = self.find(distinct)[0][inverse]
+        if len(self.key) > CACHE_EDGES:
+            self.clear()
+        node = self.end_node.find(hashes[short])
+        unknown = np.flatnonzero(node < 0)
+        if len(unknown):
+            fresh, first = np.unique(hashes[short[unknown]], return_index=True)
+            spots, raw = short[unknown[first]], data.tobytes()
+            self.add(fresh, [raw[x:y] for x, y in zip(start[spots].tolist(), end[spots].tolist())])
+            node = self.end_node.find(hashes[short])
         steps: list[tuple[np.ndarray, np.ndarray]] = []
         active, state = short, node
         while len(active):

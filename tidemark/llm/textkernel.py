@@ -166,3 +166,54 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
         for j in range(k):
             mixed = mixed * np.uint64(0xA0761D6478BD642F) + words[j : n - k + 1 + j]
         return splitmix(mixed + np.uint64(k))
+
+
+class HashTable:
+    """64-bit hash -> number, looked up for whole arrays at once (open addressing, linear probing)."""
+
+    def __init__(self, bits: int = 16):
+        self._allot(bits)
+
+    def _allot(self, bits: int) -> None:
+        self.mask = np.uint64((1 << bits) - 1)
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.values = np.zeros(1 << bits, np.int64)
+        self.count = 0
+
+    @staticmethod
+    def _safe(hashes: np.ndarray) -> np.ndarray:
+        return np.where(hashes == 0, np.uint64(1), hashes)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, or -1."""
+        hashes = self._safe(hashes)
+        at = hashes & self.mask
+        seen = self.keys[at]
+        out = np.where(seen == hashes, self.values[at], -1)
+        going = np.flatnonzero((seen != hashes) & (seen != 0))
+        at = at[going]
+        while len(going):
+            at = (at + np.uint64(1)) & self.mask
+            seen, wanted = self.keys[at], hashes[going]
+            hit = seen == wanted
+            out[going[hit]] = self.values[at[hit]]
+            more = ~hit & (seen != 0)
+            going, at = going[more], at[more]
+        return out
+
+    def add(self, hashes: np.ndarray, values: np.ndarray) -> None:
+        """Adds distinct hashes that are not in the table."""
+        if 2 * (self.count + len(hashes)) > len(self.keys):
+            used = np.flatnonzero(self.keys)
+            old_keys, old_values = self.keys[used], self.values[used]
+            self._allot(max(16, int(4 * (len(used) + len(hashes))).bit_length()))
+            self.add(old_keys, old_values)
+        hashes, values = self._safe(hashes), np.asarray(values)
+        self.count += len(hashes)
+        at = hashes & self.mask
+        while len(hashes):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = hashes[free]  # of several at one place the last stays
+            won = free & (self.keys[at] == hashes)
+            self.values[at[won]] = values[won]
+            hashes, values, at = hashes[~won], values[~won], (at[~won] + np.uint64(1)) & self.mask
