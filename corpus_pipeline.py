@@ -1,15 +1,67 @@
-"""From raw documents to token pieces, stage by stage."""
+"""From raw documents to token pieces: five stages, each over all rows that the one before kept.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
+last return the columns of ``documents``.  No SQL can express the sampled
+segmentation or the hyperdimensional profiles, so ``ORACLE_SQL`` is None and
+the stages are tested against brute-force versions.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import hyperlang, line_spread, lsh_forest, phrase_index, piece_lattice
+from tidemark.llm.common import staged, table, work_path
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Labels every document with its predicted language; texts without a language (``und``) go."""
+    model = hyperlang.fit(docs.where(hyperlang.in_training(F.col("doc_id"))))
+    labelled = hyperlang.predict(docs.select(*COLUMNS), model)
+    return labelled.where("lang_pred <> 'und'").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes lines that ten sources or more carry, but for their first occurrence; documents left without text go."""
+    clean = line_spread.remove_boilerplate(docs.select(*COLUMNS)).where("n_removed = 0 or text rlike '[^ \\t\\r\\n]'")
+    return clean.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies (five-word shingles, similarity 0.8) the document with the smallest id stays."""
+    gone = lsh_forest.near_duplicates(docs, words=5, percent=80).where("not kept").select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(staged(gone, "copies"), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with ten consecutive words of a benchmark item (or a whole shorter item) go."""
+    found = phrase_index.contamination(docs, table(spark, sf_dir, "benchmark"), work_path(spark, "phrases"))
+    return docs.select(*COLUMNS).join(staged(found.where("contaminated").select("doc_id").distinct(), "contaminated"), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sampled pieces of every document, their number and checksum, and whether they decode to the text."""
+    import public_tokenizers
+
+    return piece_lattice.encode(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+
 
-STAGES: list = []
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("sentencepiece", pieces),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over ``documents``; each stage's result is written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
