@@ -37,17 +37,33 @@ from .common import keyed_text, table, work_path
 
 STRIDE = 128
 CHUNK = 2 << 20
-CACHE = 250_000
+CACHE = 800_000
 
 
-class WordEncoder:
-    """Ids of white-space separated words, kept by word hash for as long as a worker lives.
+def _kinds() -> np.ndarray:
+    """Byte -> 0 white space, 1 letter, 2 digit, 3 punctuation, 4 anything that needs the whole word."""
+    out = np.full(256, 4, np.uint8)
+    out[[*range(0x09, 0x0E), 0x20]] = 0
+    out[0x21:0x7F] = 3
+    out[0x30:0x3A] = 2
+    out[0x41:0x5B] = out[0x61:0x7B] = 1
+    out[[0x27, 0x3C]] = 4  # contractions; special tokens start with "<"
+    return out
 
-    The pre-tokeniser drops white space and never joins across it, so a text's
-    ids are its words' ids in order.
+
+class TextEncoder:
+    """Ids of texts by way of their pre-tokens, kept by hash for as long as a worker lives.
+
+    The tokenizer lower-cases, drops white space and joins nothing across it,
+    so a text's ids are its words' ids in order.  Words of ASCII and Latin
+    letters, digits and punctuation are cut where the pre-tokeniser cuts them
+    (runs of letters, single digits, runs of other characters); a word with
+    anything else is looked up whole.
     """
 
-    _one: dict[str, "WordEncoder"] = {}
+    _one: dict[str, "TextEncoder"] = {}
+    _kind = _kinds()
+    _lower = tk.ByteClass(_kind != 0, lower=True)
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -55,55 +71,100 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        for piece, i in vocabulary.items():
+            self.ends_word[i] = piece.endswith("</w>")
         self.clear()
 
     @classmethod
-    def at(cls, path: str) -> "WordEncoder":
+    def at(cls, path: str) -> "TextEncoder":
         if path not in cls._one:
             cls._one[path] = cls(path)
         return cls._one[path]
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.offsets = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.slots = tk.HashTable()
+        self.ids, self.offsets = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def units(self, data: np.ndarray, offsets: np.ndarray):
+        """(start, end, row, looked up whole) of the units of the rows."""
+        start, end, row = tk.word_spans(data, offsets, self._lower)
+        if not len(start):
+            return start, end, row, np.zeros(0, bool)
+        kind = self._kind[data]
+        lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC5))
+        if len(lead):  # U+00C0 to U+017F are letters but for two signs; U+0130 lower-cases to two characters
+            point = data[lead + 1].astype(np.int64) + (data[lead].astype(np.int64) << 8)
+            lead = lead[~np.isin(point, (0xC397, 0xC3B7, 0xC4B0))]
+            kind[lead] = kind[lead + 1] = 1
+        odd = np.concatenate(([0], np.cumsum(kind == 4)))
+        whole = odd[end] > odd[start]
+        cut = np.empty(len(data), bool)
+        cut[0] = False
+        cut[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        cut &= kind != 0
+        if whole.any():
+            inside = np.zeros(len(data) + 1, np.int8)
+            inside[start[whole]] += 1
+            inside[end[whole]] -= 1
+            cut &= np.cumsum(inside[:-1]) == 0
+        cut[start] = True
+        begins = np.flatnonzero(cut)
+        word = np.searchsorted(start, begins, side="right") - 1
+        ends = np.append(begins[1:], 0)
+        last = np.append(word[1:] != word[:-1], True)
+        ends[last] = end
+        return begins, ends, row[word], whole[word]
+
+    def _encode(self, raw: bytes, start: list[int], end: list[int], whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and number of ids of units: the plain ones in one call, told apart by their last pieces."""
+        run = self.tokenizer.encode_batch_fast
+        sizes = np.zeros(len(start), np.int64)
+        parts: list = [None] * len(start)
+        plain = np.flatnonzero(~whole)
+        text = b" ".join([raw[start[i] : end[i]] for i in plain.tolist()]).decode("utf-8", "replace")
+        got = np.array(run([text], add_special_tokens=False)[0].ids, np.uint32)
+        lasts = np.flatnonzero(self.ends_word[got])
+        if len(lasts) != len(plain):
+            raise ValueError("a pre-token has no single last piece: this tokenizer does not mark word ends")
+        sizes[plain] = np.diff(np.concatenate(([-1], lasts)))
+        if not whole.any():
+            return got, sizes
+        rest = np.flatnonzero(whole)
+        single = run([raw[start[i] : end[i]].decode("utf-8", "replace") for i in rest.tolist()], add_special_tokens=False)
+        for i, x in zip(rest.tolist(), single):
+            parts[i] = np.array(x.ids, np.uint32)
+            sizes[i] = len(parts[i])
+        for i, x in zip(plain.tolist(), np.split(got, lasts[:-1] + 1) if len(lasts) else []):
+            parts[i] = x
+        return np.concatenate(parts), sizes
 
     def lookup(self, data: np.ndarray, offsets: np.ndarray):
-        """(row of each word, index of each word's distinct form, ids of all forms, their offsets)."""
-        start, end, row = tk.word_spans(data, offsets, tk.SPACED_EXACT)
-        hashes = tk.word_hashes(data, start, end, tk.SPACED_EXACT)
-        distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.keys, distinct)
-        known = np.zeros(len(distinct), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == distinct[inside]
-        fresh = np.flatnonzero(~known)
-        if len(fresh):
-            raw = data.tobytes()
-            words = [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[first[fresh]].tolist(), end[first[fresh]].tolist())]
-            encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-            found = [x.ids for x in encode(words, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
-            if len(self.keys) + len(fresh) > CACHE:  # keep what this chunk uses; the rest is found again when needed
-                keep = np.unique(at[known])
-                self._reset(self.keys[keep], *gather(self.ids, self.offsets, keep))
-            self._merge(distinct[fresh], flat, sizes)
-            at = np.searchsorted(self.keys, distinct)
-        return row, at[inverse], self.ids, self.offsets
-
-    def _reset(self, keys, ids, sizes) -> None:
-        self.keys, self.ids = keys, ids
-        self.offsets = np.concatenate(([0], np.cumsum(sizes)))
-
-    def _merge(self, keys, ids, sizes) -> None:
-        all_keys = np.concatenate((self.keys, keys))
-        all_ids = np.concatenate((self.ids, ids))
-        all_sizes = np.concatenate((np.diff(self.offsets), sizes))
-        order = np.argsort(all_keys, kind="stable")
-        starts = np.concatenate(([0], np.cumsum(all_sizes)))
-        flat, lens = gather(all_ids, starts, order)
-        self._reset(all_keys[order], flat, lens)
+        """(row of each unit, number of each unit, ids of all slots, their offsets)."""
+        start, end, row, whole = self.units(data, offsets)
+        hashes = tk.word_hashes(data, start, end, self._lower)
+        odd = np.flatnonzero(whole)
+        if len(odd):
+            hashes[odd] = tk.splitmix(tk.word_hashes(data, start[odd], end[odd], tk.SPACED_EXACT))
+        slot = self.slots.find(hashes)
+        unknown = np.flatnonzero(slot < 0)
+        if len(unknown) and self.slots.count + len(unknown) > CACHE and self.slots.count:
+            fresh_count = len(np.unique(hashes[unknown]))
+            if self.slots.count + fresh_count > CACHE:  # make room; what this chunk uses is encoded again
+                self.clear()
+                unknown = np.arange(len(hashes))
+        if len(unknown):
+            fresh, first, inverse = np.unique(hashes[unknown], return_index=True, return_inverse=True)
+            spots = unknown[first]
+            ids, sizes = self._encode(data.tobytes(), start[spots].tolist(), end[spots].tolist(), whole[spots])
+            base = len(self.offsets) - 1
+            self.slots.add(fresh, np.arange(base, base + len(fresh)))
+            self.ids = np.concatenate((self.ids, ids))
+            self.offsets = np.concatenate((self.offsets, self.offsets[-1] + np.cumsum(sizes)))
+            slot[unknown] = base + inverse
+        return row, slot, self.ids, self.offsets
 
 
 def gather(flat: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,7 +276,7 @@ def count_ids(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """(id, n): how often each id occurs in all texts; one row an id."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, total = WordEncoder.at(tokenizer_path), np.zeros(1 << 16, np.int64)
+        encoder, total = TextEncoder.at(tokenizer_path), np.zeros(1 << 16, np.int64)
         for batch in batches:
             data, offsets = tk.string_buffers(batch.column(0))
             for a, b in tk.row_chunks(offsets, CHUNK):
@@ -256,7 +317,7 @@ def write_encoded(docs: DataFrame, path: str, tokenizer_path: str, key: str = "d
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encoder, code = WordEncoder.at(tokenizer_path), Code(shared.value, max_bits)
+        encoder, code = TextEncoder.at(tokenizer_path), Code(shared.value, max_bits)
         held, doc_ids, doc_lens, n, block, start = [], [], [], 0, 0, 0
 
         def close():
