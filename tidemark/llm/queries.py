@@ -31,8 +31,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_preference_chat": OP1_SQL,
-    "op3_robust_quality": op3_robust_quality,
-    "op4_page_wrapper": op4_page_wrapper,
     "op5_license_rules": OP5_SQL,
     "op6_line_spread": OP6_SQL,
 }
