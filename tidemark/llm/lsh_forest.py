@@ -99,11 +99,6 @@ def _order_columns() -> list:
     return [F.concat(F.lit(bytes([t])), F.substring("sig", 1 + t * step, 2 * SIZE), F.substring("sig", 1, t * step)) if t else F.concat(F.lit(b"\0"), F.col("sig")) for t in range(TREES)]
 
 
-def _orders(reps: DataFrame) -> DataFrame:
-    """k and ord: a byte for the tree and the signature from the tree's position on, for each tree."""
-    return reps.select("k", F.explode(F.array(*_order_columns())).alias("ord"))
-
-
 def _same(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """How many of the signature values agree, row by row, of orders of one tree."""
     a, b = x[:, 1:].reshape(len(x), -1, 2), y[:, 1:].reshape(len(y), -1, 2)
@@ -131,9 +126,12 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def neighbours(reps: DataFrame) -> DataFrame:
     """(a, b, same): rows next to each other in a tree, with how many signature values agree."""
-    orders = _orders(reps).withColumn("region", F.substring("ord", 1, 1 + 2 * LEAST_DEPTH))
-    shared = staged(orders.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("region"), "regions")
-    live = orders.join(shared, "region", "left_semi").select("k", "ord")
+    starts = [F.struct(F.lit(t).alias("t"), F.xxhash64(F.lit(t), F.substring("sig", 1 + 2 * DEPTH * t, 2 * LEAST_DEPTH)).alias("region")) for t in range(TREES)]
+    places = reps.select("k", F.explode(F.array(*starts)).alias("p")).select("k", "p.t", "p.region")
+    shared = staged(places.groupBy("region").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("region"), "regions")
+    trees = places.join(shared, "region", "left_semi").groupBy("k").agg(F.collect_set("t").alias("trees"))  # numbers travel here, not signatures
+    mine = [F.when(F.array_contains("trees", t), order) for t, order in enumerate(_order_columns())]
+    live = reps.select("k", "sig").join(trees, "k").select("k", F.explode(F.array_compact(F.array(*mine))).alias("ord"))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
