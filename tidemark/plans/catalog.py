@@ -585,11 +585,10 @@ def script_profile(spark, sf_dir):
     return w.groupBy(text.script_of(F.col("w")).alias("script")).agg(F.count(F.lit(1)).alias("words"))
 
 
-@query(r"""SELECT conv_id, turn, md5(upper(trim(regexp_replace(regexp_replace(coalesce(text, ''), '["''«»`()\[\]{}]', ' ', 'g'), '[\s/,;+\-_.]+', ' ', 'g')))) AS clean_md5 FROM conversations WHERE text NOT LIKE '%ß%'""")
+@query(r"""SELECT conv_id, turn, md5(upper(trim(regexp_replace(regexp_replace(replace(coalesce(text, ''), 'ß', 'SS'), '["''«»`()\[\]{}]', ' ', 'g'), '[\s/,;+\-_.]+', ' ', 'g')))) AS clean_md5 FROM conversations""")
 def clean_text(spark, sf_dir):
     """Noise and separators removed, upper case."""
-    rows = table(spark, sf_dir, "conversations").where("text not like '%ß%'")
-    return rows.select("conv_id", "turn", F.md5(text.clean(F.col("text"), fold_width=False).cast("binary")).alias("clean_md5"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.md5(text.clean(F.col("text"), fold_width=False).cast("binary")).alias("clean_md5"))
 
 
 _DATE = "CASE o_orderkey % 6 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN '' WHEN 2 THEN 'soon' WHEN 3 THEN '02' || substr(strftime(o_orderdate, '%Y-%m-%d'), 3, 2) || substr(strftime(o_orderdate, '%Y-%m-%d'), 5) WHEN 4 THEN NULL ELSE '2' || strftime(o_orderdate, '%d') || '7-01-05T10:00:00' END"
