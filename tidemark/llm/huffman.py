@@ -16,7 +16,8 @@ File format (a Parquet dataset, so any store that Spark reaches will do):
 ``code/``    id int, bits int: the canonical code is rebuilt from the lengths
 
 Defined results: a null or empty text has the end id alone; documents with a
-null key come first; rows that repeat a key stay separate, ordered by text;
+null key come first; rows that repeat a key stay separate, ordered by a hash of
+their text;
 an empty table gives an empty dataset; further columns are not read.
 """
 
@@ -352,7 +353,8 @@ def write_encoded(docs: DataFrame, path: str, tokenizer_path: str, key: str = "d
         if n:
             yield close()
 
-    rows.repartitionByRange(F.col("k")).sortWithinPartitions("k", "t").mapInArrow(encode, _BLOCKS).write.parquet(f"{path}/blocks")
+    ordered = rows.withColumn("h", F.xxhash64("t"))  # rows that repeat a key have an order and can be dealt out too
+    ordered.repartitionByRange("k", "h").sortWithinPartitions("k", "h").select("k", "t").mapInArrow(encode, _BLOCKS).write.parquet(f"{path}/blocks")
 
 
 def read_encoded(spark: SparkSession, path: str, with_ids: bool = False, max_bits: int = 18) -> DataFrame:

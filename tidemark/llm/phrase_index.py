@@ -31,6 +31,7 @@ from .common import keyed_text, table, work_path
 
 SEGMENT = 8 << 20
 BLOCK_BYTES = 4 << 20
+_NO_ID = -(1 << 63)
 
 _INDEX = "part int, seg int, docs binary, words binary, terms binary, freqs binary, postings binary"
 
@@ -52,7 +53,7 @@ def build_index(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
 
         part, seg = TaskContext.get().partitionId(), 0
         for batch in batches:
-            keys = np.asarray(batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False), np.int64)
+            keys = np.asarray(batch.column(0).fill_null(_NO_ID).to_numpy(zero_copy_only=False), np.int64)
             data, offsets = tk.string_buffers(batch.column(1))
             for a, b in tk.row_chunks(offsets, SEGMENT):
                 piece, local = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
@@ -231,7 +232,7 @@ def _search(index: DataFrame, shared, schema: str, keep_all: bool) -> DataFrame:
                         pa.array(np.full(len(kept), row["part"], np.int32)),
                         pa.array(np.full(len(kept), row["seg"], np.int32)),
                         pa.array(kept.astype(np.int32)),
-                        pa.array(segment.docs[kept]),
+                        pa.array(segment.docs[kept], mask=segment.docs[kept] == _NO_ID),
                         pa.array(segment.words[kept]),
                         pa.ListArray.from_arrays(pa.array(np.append(run_at[kept], run_at[-1]).astype(np.int32)), runs),
                         pa.array(item_lists, pa.list_(pa.string())),
@@ -265,7 +266,7 @@ def phrase_matches(index: DataFrame, items: DataFrame, key: str = "item_id", tex
                     else:
                         which, at, size = _near(segment, phrases, slop)
                     doc = segment.doc_of(at)
-                    rows = [(int(segment.docs[d]), phrases.ids[o], int(a - segment.bounds[d]), int(s)) for w, a, s, d in zip(which.tolist(), at.tolist(), size.tolist(), doc.tolist()) for o in phrases.owner[phrases.owner_at[w] : phrases.owner_at[w + 1]].tolist()]
+                    rows = [(None if segment.docs[d] == _NO_ID else int(segment.docs[d]), phrases.ids[o], int(a - segment.bounds[d]), int(s)) for w, a, s, d in zip(which.tolist(), at.tolist(), size.tolist(), doc.tolist()) for o in phrases.owner[phrases.owner_at[w] : phrases.owner_at[w + 1]].tolist()]
                     yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate((pa.int64(), pa.string(), pa.int64(), pa.int64()))], ["doc_id", "item_id", "start", "size"])
 
         return run
