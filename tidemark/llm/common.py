@@ -51,10 +51,30 @@ def drop_staged(df: DataFrame) -> None:
         break
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of 2,000 rows to and from Python unless the user chose a number: long texts make wide rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":
+        spark.conf.set(name, "2000")
+
+
+def release() -> None:
+    """Hands freed memory of this worker back to the system, so that workers of other operators have it."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def keyed_text(df: DataFrame, key: str, text: str) -> DataFrame:
     """Only the key (bigint) and the text (string; null: empty), under the fixed names ``k`` and ``t``."""
+    small_batches(df.sparkSession)
     return df.select(F.col(f"`{key}`").cast("bigint").alias("k"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import table
+from .common import small_batches, table
 
 DIM = 1024
 ROWS, CHUNK = 96, 256 << 10
@@ -134,6 +134,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", dim: int = DIM)
         for name, v in sums.items():
             yield pa.record_batch([pa.array([name] * dim), pa.array(np.arange(dim)), pa.array(v)], ["lang", "i", "v"])
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{lang}`").cast("string").alias("l")).where("t is not null and l is not null")
     found = rows.mapInArrow(learn, "lang string, i bigint, v double").groupBy("lang", "i").agg(F.sum("v").alias("v")).collect()  # languages x dim numbers
     names = sorted({r["lang"] for r in found})
@@ -146,6 +147,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", dim: int = DIM)
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score (the cosine, from 0 to 1) behind its own columns."""
+    small_batches(docs.sparkSession)
     names, protos = model
     norms = np.linalg.norm(protos, axis=1, keepdims=True)
     unit = (protos / np.where(norms > 0, norms, 1)).astype(np.float32)

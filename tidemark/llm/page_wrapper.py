@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import small_batches, staged, table
 
 SALTS, HELD_NODES = 16, 200_000
 #: A text counts as part of the template if it is the same on at least so many pages.
@@ -381,6 +381,7 @@ def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
             root = node if root is None else merge(root, node)
         return pd.DataFrame([(f["host"].iloc[0], int(f["salt"].iloc[0]), root.pages, json.dumps(root.dump()))], columns=["host", "salt", "pages", "wrapper"])
 
+    small_batches(pages.sparkSession)
     rows = pages.select(host_of(F.col(f"`{url}`")).alias("host"), F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).alias("html"))
     parts = rows.mapInPandas(learn, schema)
     parts = parts.groupBy("host", "salt").applyInPandas(joined, schema)

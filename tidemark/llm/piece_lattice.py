@@ -8,7 +8,7 @@ segmentation is then drawn from the end back, an edge with the probability that
 its own path sums give it.  Random numbers depend on the seed, the row's key, the unit's number in the row and
 the step alone, so a row gets the same pieces in any partitioning.
 
-Forward sums are kept by distinct unit for as long as a worker lives (bounded;
+Forward sums are kept by distinct unit for as long as a task runs (bounded;
 what does not fit is computed again).  Decoding joins the pieces' bytes; a
 literal U+2581 goes through bytes, so the text comes back exactly.
 
@@ -29,11 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import table
+from .common import release, small_batches, table
 
-CHUNK = 1 << 20
+CHUNK = 768 << 10
 LONG = 64
-CACHE_EDGES = 3_000_000
+CACHE_EDGES = 2_000_000
 _ALL = tk.ByteClass(np.ones(256, bool), lower=False)
 _SPACE = 0x20
 _MARK = "▁"
@@ -323,7 +323,10 @@ def encode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "t
                     columns.append(pa.ListArray.from_arrays(pa.array(per_row.astype(np.int32)), pa.array(ids)))
                 columns += [pa.array(np.diff(per_row)), pa.array(crcs, pa.int64()), pa.array(same)]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) if c.type != f.type else c for c, f in zip(columns, arrow)], schema=arrow)
+        lattice.clear()
+        release()
 
+    small_batches(docs.sparkSession)
     kept = docs.drop(*[m for m in made if m in docs.columns])
     return kept.select("*", F.col(f"`{key}`").cast("bigint").alias("__key"), F.col(f"`{text}`").cast("string").alias("__text")).mapInArrow(run, schema)
 

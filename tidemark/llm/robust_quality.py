@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import drop_staged, staged, table
+from .common import drop_staged, small_batches, staged, table
 
 CHUNK = 2 << 20
 SUPPORT, STEPS, LEAST_ROWS = 0.6, 4, 50
@@ -91,6 +91,7 @@ def statistics(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: s
             if parts:
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(np.concatenate([p[c] for p in parts]).astype(np.int64)) for c in columns]], ["k", "lang", "source", *columns])
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("k"), F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("")).alias("lang"), F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"), F.col(f"`{text}`").cast("string").alias("t"))
     return rows.mapInArrow(count, "k bigint, lang string, source string, " + ", ".join(f"{c} bigint" for c in columns))
 
