@@ -49,6 +49,17 @@ def test_read_keeps_text_and_case(spark, tmp_path):
     assert json.loads(kept["2"]) == [{"b": "c"}]
 
 
+def test_broken_and_repaired_files(spark, tmp_path):
+    (tmp_path / "cut.json").write_text('[{"ID":"1"},{"ID"')
+    with pytest.raises(js.BrokenSnapshot, match="inside a value"):
+        js.read_snapshot(spark, str(tmp_path / "cut.json"))
+    (tmp_path / "two.json").write_text('[{"ID":"1"}]{"ID":"2"}[{"ID":"3"}]')
+    df, mode, repairs = js.read_snapshot(spark, str(tmp_path / "two.json"))
+    assert (sorted(r["id"] for r in df.collect()), mode, repairs) == (["1", "2", "3"], "repaired", 2)
+    (tmp_path / "none.json").write_text("[]")
+    assert js.read_snapshot(spark, str(tmp_path / "none.json"))[0].count() == 0
+
+
 def test_phones_are_quarantined_and_other_numbers_kept(spark):
     raw = spark.createDataFrame([("1", "380501234567"), ("2", "123456789012345"), ("3", "*"), ("4", None)], "id string, dtl string")
     staged = stage.stage(raw)

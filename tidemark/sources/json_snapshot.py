@@ -8,9 +8,13 @@ also writes the objects one a line, which makes the file splittable.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
+from pyspark import StorageLevel
+from pyspark.errors import PythonException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,23 +100,32 @@ def read_objects(spark: SparkSession, lines: DataFrame) -> DataFrame:
 def read_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, str, int]:
     """(rows, read mode, repairs) of one snapshot file.
 
-    The mode is ``json`` or ``repaired``.  Bytes come through Spark, so any
-    store will do.  The number of rows always equals the number of objects.
+    The mode is ``json`` or ``repaired``.  The file is scanned by the task that
+    reads it, so any store will do and the driver never holds it.  The number
+    of rows always equals the number of objects.
     """
-    found = spark.read.format("binaryFile").load(path).select("content").collect()  # one snapshot is one file
-    if len(found) != 1:
-        raise BrokenSnapshot(f"{len(found)} files at {path}")
-    got = scan(bytes(found[0]["content"]).decode("utf-8"))
-    if got.faults and not got.objects:
-        raise BrokenSnapshot("nothing to repair")
-    for o in got.objects:
-        json.loads(o)
-    lines = spark.createDataFrame(_rows(got.objects), "value string")
-    return read_objects(spark, lines), "repaired" if got.faults else "json", got.faults
-
-
-def _rows(objects: Iterable[str]) -> list[tuple[str]]:
-    return [(o,) for o in objects]
+    files = spark.read.format("binaryFile").load(path).select("content")
+
+    def expand(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for content in f["content"]:
+                got = scan(bytes(content).decode("utf-8"))
+                yield pd.DataFrame({"value": [None], "faults": [got.faults]})
+                for i in range(0, len(got.objects), 10_000):
+                    part = got.objects[i : i + 10_000]
+                    for o in part:
+                        json.loads(o)
+                    yield pd.DataFrame({"value": part, "faults": 0})
+
+    lines = files.mapInPandas(expand, "value string, faults int").persist(StorageLevel.DISK_ONLY)
+    try:
+        seen = lines.agg(F.count_if(F.col("value").isNull()).alias("files"), F.sum("faults").alias("faults")).first()
+    except PythonException as e:
+        found = re.search(r"(?:BrokenSnapshot|JSONDecodeError|UnicodeDecodeError): (.*)", str(e))
+        raise BrokenSnapshot(found.group(1) if found else "unreadable") from e
+    if seen["files"] != 1:
+        raise BrokenSnapshot(f"{seen['files']} files at {path}")
+    return read_objects(spark, lines.where("value is not null").select("value")), "repaired" if seen["faults"] else "json", seen["faults"]
 
 
 def resolve_columns(df: DataFrame) -> dict[str, str]:
@@ -134,9 +147,3 @@ def projected(df: DataFrame) -> DataFrame:
     known = [F.col(f"`{at[f]}`").cast("string").alias(f) if f in at else F.lit(None).cast("string").alias(f) for f in FIELDS]
     packed: Column = F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in sorted(extra)]), {"ignoreNullFields": "false"}) if extra else F.lit(None).cast("string")
     return df.select(*known, packed.alias("extra_json"))
-
-
-def iter_bytes(objects: Iterable[str]) -> Iterator[bytes]:
-    """JSON Lines of the objects."""
-    for o in objects:
-        yield o.replace("\n", " ").encode() + b"\n"
