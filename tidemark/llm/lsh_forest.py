@@ -19,7 +19,9 @@
 
 The number of candidates grows with the number of documents, not with the
 square of a group.  Signatures only choose candidates; every link is confirmed
-on whole sets.
+on whole sets.  Inside a very large group of near copies a text whose only link
+leads to another outlying text can be missed: its neighbours in the orders and
+the hubs are other texts (3 of 51,282 documents on a table made to be hard).
 
 Defined results: a null or empty text has no shingles and links with nothing;
 fewer words than a shingle make one shingle of them all; rows that repeat an
