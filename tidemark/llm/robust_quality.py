@@ -32,6 +32,8 @@ from .common import drop_staged, small_batches, staged, table
 
 CHUNK = 2 << 20
 SUPPORT, STEPS, LEAST_ROWS = 0.6, 4, 50
+#: So many groups (some 200 bytes each) are sent to every task; more are joined, each group in so many shares.
+GROUP_LIMIT, SHARES = 100_000, 64
 #: Squared distances above this are outliers: six standard deviations in one direction.
 CUT = 36.0
 #: The statistics and the least standard deviation that counts for each.
@@ -168,6 +170,14 @@ def _moments(used: Column) -> list[Column]:
 GROUP = ["level", "lang", "source"]
 
 
+def _beside(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with their group's columns: sent to every task while the groups are few, else joined in salted shares."""
+    if groups.limit(GROUP_LIMIT + 1).count() <= GROUP_LIMIT:
+        return rows.join(F.broadcast(groups), keys)
+    salted = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    return rows.withColumn("__salt", F.pmod(F.xxhash64(*NAMES), F.lit(SHARES)).cast("int")).join(salted, [*keys, "__salt"]).drop("__salt")
+
+
 def fit(vectors: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
     """Estimates for each (lang, source) of ``vectors``: own, its language's or all rows', by size."""
     levels = F.explode(F.array(F.struct(F.lit(0).alias("level"), F.col("lang").alias("l"), F.col("source").alias("s")), F.struct(F.lit(1).alias("level"), F.col("lang").alias("l"), F.lit("").alias("s")), F.struct(F.lit(2).alias("level"), F.lit("").alias("l"), F.lit("").alias("s"))))
@@ -178,9 +188,9 @@ def fit(vectors: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> Dat
     params = staged(start, "estimates")
     factor = consistency(len(NAMES), support)
     for _ in range(steps):
-        placed = rows.join(params, GROUP).withColumn("d", _distance())
+        placed = _beside(rows, params, GROUP).withColumn("d", _distance())
         bounds = staged(placed.groupBy(*GROUP).agg(F.percentile_approx("d", support, 10000).alias("bound")), "bounds")
-        inner = rows.join(params.join(bounds, GROUP), GROUP).withColumn("used", _distance() <= F.col("bound"))
+        inner = _beside(rows, params.join(bounds, GROUP), GROUP).withColumn("used", _distance() <= F.col("bound"))
         after = staged(_with_precision(inner.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n"), F.count_if("used").alias("c"), *_moments(F.col("used"))), factor), "estimates")
         drop_staged(params)
         drop_staged(bounds)
@@ -201,7 +211,8 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rows = found.withColumn("base_failed", failed).select("*", *_vector())
     estimates = fit(rows.where("not base_failed").select("lang", "source", *NAMES))
-    out = rows.join(estimates, ["lang", "source"], "left").withColumn("distance", F.when(~F.col("base_failed"), _distance()))
+    good = _beside(rows.where("not base_failed"), estimates, ["lang", "source"]).withColumn("distance", _distance())
+    out = good.select(*rows.columns, "distance").unionByName(rows.where("base_failed").withColumn("distance", F.lit(None).cast("double")))
     return out.select(F.col("k").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & (F.col("distance") <= CUT)).alias("kept"), "distance")
 
 
