@@ -31,9 +31,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8) the document with the smallest id stays."""
+    """Of each group of near copies (five-word shingles, similarity 0.8) the document with the smallest id stays.
+
+    Of the rest, lines of more than 50 words stay only where they occur first, on however few sources they are;
+    documents left without text go.  Before the copies are gone, this would leave their changed lines behind.
+    """
     gone = lsh_forest.near_duplicates(docs, words=5, percent=80).where("not kept").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(staged(gone, "copies"), "doc_id", "left_anti").select(*COLUMNS)
+    rest = staged(docs.select(*COLUMNS).join(staged(gone, "copies"), "doc_id", "left_anti").select(*COLUMNS), "rest")
+    clean = line_spread.remove_repeated(rest).where("n_removed = 0 or text rlike '[^ \\t\\r\\n]'")
+    return clean.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 
 from tests.llm.helpers import by_id, docs, words
 
+import corpus_pipeline
 from tidemark.llm import robust_quality
 
 
@@ -18,3 +19,19 @@ def test_repeated_words_or_lines_alone_reject(spark):
     assert not any(got[i]["base_failed"] for i in (1000, 1001, 1002))
     assert not got[1000]["kept"] and not got[1001]["kept"]
     assert got[1002]["kept"] and all(got[i]["kept"] for i in range(240))
+
+
+def test_long_passages_stay_once_in_the_pipeline(spark):
+    rng = random.Random(6)
+    two, hot, long = words(rng, 60, 4000), words(rng, 55, 4000), words(rng, 70, 4000)
+    own = lambda: words(rng, 100, 4000)
+    rows = [(i, f"{own()}\n{two}\n{own()}", "en", f"s{i}") for i in range(2)]  # two sources
+    rows += [(10 + i, f"{own()}\n  {hot}\n{own()}", "en", "hot") for i in range(6)]  # one source
+    rows += [(20, f"{own()}\n{long}", "en", "s1"), (21, f"{long}\n{own()}\nshort line", "en", "s2"), (22, f"{own()}\nshort line", "en", "s2")]
+    rows += [(30, f"{(a := own())}\n{(b := own())} x", "en", "s3"), (31, f"{a}\n{b} y", "en", "s4")]  # near copies go whole
+    d = docs(spark, rows)
+    d = corpus_pipeline.near_dedup(spark, corpus_pipeline.line_dedup(spark, d, ""), "")
+    got = by_id(d)
+    assert set(got) == {r[0] for r in rows} - {31} and d.columns == corpus_pipeline.COLUMNS
+    assert {x: [i for i, r in got.items() if x in r["text"]] for x in (two, hot, long)} == {two: [0], hot: [10], long: [20]}
+    assert all("short line" in got[i]["text"] for i in (21, 22)) and all(r["n_chars"] == len(r["text"]) for r in got.values())

@@ -61,7 +61,24 @@ def boilerplate(docs: DataFrame, key: str, text: str, site: str, min_sites: int)
 
 def remove_boilerplate(docs: DataFrame, key: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = 10) -> DataFrame:
     """``docs`` with cleaned text, and n_lines and n_removed behind its own columns."""
-    places, found = boilerplate(docs, key, text, site, min_sites)
+    return _without(docs, *boilerplate(docs, key, text, site, min_sites), key, text)
+
+
+def repeated(docs: DataFrame, key: str, text: str, more_words: int) -> tuple[DataFrame, DataFrame]:
+    """Like ``boilerplate``, for lines of more than ``more_words`` words that occur twice or more, on whatever sites."""
+    lines = _prepared(docs, key, text).select("k", "th", F.posexplode("lines").alias("pos", "line"))
+    lines = lines.withColumn("line", F.btrim("line", F.lit(BLANKS))).where(F.regexp_count("line", F.lit(r"[^ \t\r]+")) > more_words).select("k", "th", "pos", *_line_key(F.col("line")))
+    found = staged(lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "th", "pos")).alias("first")).where("n > 1").select("h1", "h2", "first"), "repeated")
+    return staged(lines.join(found.select("h1", "h2"), ["h1", "h2"], "left_semi"), "places"), found
+
+
+def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", more_words: int = 50) -> DataFrame:
+    """``docs`` with every long line only where it occurs first, and n_lines and n_removed behind its own columns."""
+    return _without(docs, *repeated(docs, key, text, more_words), key, text)
+
+
+def _without(docs: DataFrame, places: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` without the ``places`` of ``found`` lines, but for the first of each."""
     gone = places.join(found, ["h1", "h2"]).where(~F.struct("k", "th", "pos").eqNullSafe(F.col("first")))
     gone = staged(gone.groupBy("k", "th").agg(F.collect_set("pos").alias("gone")), "removals")
     drop_staged(places)
