@@ -5,6 +5,7 @@ import random
 from tests.llm.helpers import by_id, docs, words
 
 import corpus_pipeline
+from tidemark.llm import page_wrapper as pw
 from tidemark.llm import robust_quality
 
 
@@ -35,3 +36,19 @@ def test_long_passages_stay_once_in_the_pipeline(spark):
     assert set(got) == {r[0] for r in rows} - {31} and d.columns == corpus_pipeline.COLUMNS
     assert {x: [i for i, r in got.items() if x in r["text"]] for x in (two, hot, long)} == {two: [0], hot: [10], long: [20]}
     assert all("short line" in got[i]["text"] for i in (21, 22)) and all(r["n_chars"] == len(r["text"]) for r in got.values())
+
+
+def main_texts(pages):
+    found, root = [pw.blocks(p) for p in pages], None
+    for f in found:
+        own = pw.page_wrapper(f)
+        root = own if root is None else pw.merge(root, own)
+    rule = pw.rules(root)
+    return [pw.main_text(f, rule).split("\n") for f in found]
+
+
+def test_constant_texts_of_any_length_are_template():
+    for n in (399, 400, 5000):
+        notice = ("terms and conditions " * 300)[:n].strip().ljust(n, "x")
+        pages = [f"<body><div class=legal><p>{notice}</p></div><div class=text><p>Story {i} {'word ' * 20}{i}</p><p>More {i}</p></div></body>" for i in range(6)]
+        assert main_texts(pages) == [[f"Story {i} {'word ' * 20}{i}", f"More {i}"] for i in range(6)]

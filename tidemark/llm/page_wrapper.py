@@ -24,6 +24,7 @@ block; an empty table gives no rows; further columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import html as html_
 import json
 import re
@@ -36,6 +37,8 @@ from pyspark.sql import functions as F
 from .common import small_batches, staged, table
 
 SALTS, HELD_NODES = 16, 200_000
+#: Texts of so many characters or more are held in wrappers as hashes.
+LONG = 400
 #: A text counts as part of the template if it is the same on at least so many pages.
 LEAST_PAGES = 5
 #: The share of the changing text that a container must hold to be entered.
@@ -258,6 +261,11 @@ def fold(nodes: list[Node]) -> list[Node]:
     return out
 
 
+def _kept(text: str) -> str:
+    """A text as a wrapper holds it: long ones as a hash, so that every length can be told to be the same."""
+    return text if len(text) < LONG else "#" + hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 def page_wrapper(found: list[tuple[tuple[str, ...], bool, str, int]]) -> Node:
     """The wrapper of one page."""
     root = Node("")
@@ -278,7 +286,7 @@ def page_wrapper(found: list[tuple[tuple[str, ...], bool, str, int]]) -> Node:
         here.aside |= aside
         here.chars += len(text)
         here.linked += min(linked, len(text))
-        here.text = _join_text(here.text, text) if len(text) < 400 else ""
+        here.text = _join_text(here.text, _kept(text))
         last = sigs
 
     def folded(n: Node) -> Node:
