@@ -52,3 +52,19 @@ def test_constant_texts_of_any_length_are_template():
         notice = ("terms and conditions " * 300)[:n].strip().ljust(n, "x")
         pages = [f"<body><div class=legal><p>{notice}</p></div><div class=text><p>Story {i} {'word ' * 20}{i}</p><p>More {i}</p></div></body>" for i in range(6)]
         assert main_texts(pages) == [[f"Story {i} {'word ' * 20}{i}", f"More {i}"] for i in range(6)]
+
+
+def test_nothing_beside_the_largest_container_is_lost():
+    body = lambda i: [f"Long {k} of {i} {'word ' * 40}end" for k in range(5)]
+    part = lambda i: "".join(f"<p>{t}</p>" for t in body(i))
+    item = lambda i: "".join(f"<li>{t}</li>" for t in body(i))
+    nav = "<nav><a href=1>Home</a></nav><ul><li><a href=1>One</a><li><a href=2>Two</a></ul>"
+    for n in (1, 4, 7):
+        for build, first in (
+            (lambda i: f"<article><h1>Head {i}</h1><p>Lead {i}</p><div class=body>{part(i)}</div></article>", lambda i: [f"Head {i}", f"Lead {i}"]),
+            (lambda i: f"<div class=page><h1>Head {i}</h1><p>Lead {i}</p><div class=body>{part(i)}</div></div>", lambda i: [f"Head {i}", f"Lead {i}"]),
+            (lambda i: f"<article><p>Intro {i}</p><ul>{item(i)}</ul></article>", lambda i: [f"Intro {i}"]),
+            (lambda i: f"<div><section class=a><p>Second {i}</p></section><section class=b>{part(i)}</section></div>", lambda i: [f"Second {i}"]),
+        ):
+            pages = [f"<body>{nav}{build(i)}<footer>f {i}</footer></body>" for i in range(n)]
+            assert main_texts(pages) == [first(i) + body(i) for i in range(n)]

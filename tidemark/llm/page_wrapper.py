@@ -12,9 +12,9 @@ host).  A host with a third of all pages gives every task one more small row.
 
 The wrapper tells, for each place in the template, on how many pages it occurs,
 how much text it holds, and whether that text is always the same.  The main
-part is the deepest container that still holds most of the host's changing
-text outside menus, page headers and footers, sidebars, notices, adverts, forms and
-reader comments.  A page's main text is the text of the blocks in that part; a
+part is the deepest container, but none inside an article, that still holds all
+of the host's changing text outside menus, page headers and footers, sidebars,
+notices, adverts, forms, reader comments and lists of links.  A page's main text is the text of the blocks in that part; a
 page without it goes by its own blocks in the same way.
 
 Defined results: null and empty pages have the empty text; pages without a host
@@ -41,8 +41,8 @@ SALTS, HELD_NODES = 16, 200_000
 LONG = 400
 #: A text counts as part of the template if it is the same on at least so many pages.
 LEAST_PAGES = 5
-#: The share of the changing text that a container must hold to be entered.
-MOST = 0.7
+#: A container with this share of its text inside links is a list of links.
+LINKS = 0.7
 
 #: Tag classes.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split())
@@ -321,19 +321,21 @@ def rules(root: Node) -> dict:
     at = places(root)
     total = root.pages
     fixed = {p for p, x in at.items() if x["text"] and total >= LEAST_PAGES and x["pages"] >= total and not x["plus"]}
-    mass: dict[tuple[str, ...], float] = {}
+    chars: dict[tuple[str, ...], int] = {}
+    linked: dict[tuple[str, ...], int] = {}
     for p, x in at.items():
-        if x["aside"] or p in fixed:
+        if x["aside"] or p in fixed or not x["chars"]:
             continue
-        weight = x["chars"] - x["linked"]
         for i in range(len(p) + 1):
-            mass[p[:i]] = mass.get(p[:i], 0) + weight
+            chars[p[:i]] = chars.get(p[:i], 0) + x["chars"]
+            linked[p[:i]] = linked.get(p[:i], 0) + x["linked"]
     main: tuple[str, ...] = ()
-    while mass.get(main, 0) > 0:
-        deeper = [p for p in mass if len(p) == len(main) + 1 and p[:-1] == main and mass[p] >= MOST * mass[main] and _tag(p[-1]) not in LEAVES]
-        if not deeper:
+    while not (main and _tag(main[-1]) == "article"):
+        x = at.get(main)
+        inner = [p for p in chars if len(p) == len(main) + 1 and p[:-1] == main and (_tag(p[-1]) in LEAVES or linked[p] < LINKS * chars[p])]
+        if len(inner) != 1 or _tag(inner[0][-1]) in LEAVES or x and x["chars"] and not x["aside"] and main not in fixed:
             break
-        main = deeper[0]
+        main = inner[0]
     return {"main": list(main), "fixed": [list(p) for p in sorted(fixed)]}
 
 
