@@ -68,3 +68,21 @@ def test_nothing_beside_the_largest_container_is_lost():
         ):
             pages = [f"<body>{nav}{build(i)}<footer>f {i}</footer></body>" for i in range(n)]
             assert main_texts(pages) == [first(i) + body(i) for i in range(n)]
+
+
+def test_equal_texts_of_copies_and_series_stay():
+    body = lambda i: [f"Part {i} {'word ' * 30}end", f"Next {i}", "The same close"]
+    part = lambda i: "".join(f"<p>{t}</p>" for t in body(i))
+    bottom = "<div class=bottom><p>Imprint of the house</p></div>"
+    for n in (4, 5, 9):
+        for build, first in (
+            (lambda i: f"<article><h1>The series</h1><h2>About</h2>{part(i)}</article>", ["The series", "About"]),
+            (lambda i: f"<div class=text><h1>The series</h1><h2>About</h2>{part(i)}</div>", ["The series", "About"]),
+            (lambda i: f"<article><div class=head><h2>The series</h2></div><div class=body>{part(i)}</div></article>", ["The series"]),
+        ):
+            html = lambda i: f"<body><nav>n</nav>{build(i)}{bottom}</body>"  # noqa: E731, B023
+            for pages in ([html(0)] * n, [html(i) for i in range(n)]):  # copies, a series
+                for i, text in enumerate(main_texts(pages)):
+                    assert text[: len(first) + 3] == first + body(0 if pages[0] == pages[-1] else i)
+        if n >= 5:
+            assert all("Imprint of the house" not in t for t in main_texts([html(i) for i in range(n)])), "a notice beside the main part goes"

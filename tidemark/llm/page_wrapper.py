@@ -39,7 +39,7 @@ from .common import small_batches, staged, table
 SALTS, HELD_NODES = 16, 200_000
 #: Texts of so many characters or more are held in wrappers as hashes.
 LONG = 400
-#: A text counts as part of the template if it is the same on at least so many pages.
+#: A text counts as part of the template if it is the same on at least so many distinct pages (h1 never does).
 LEAST_PAGES = 5
 #: A container with this share of its text inside links is a list of links.
 LINKS = 0.7
@@ -159,20 +159,22 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str, int]]:
 class Node:
     """A place of a wrapper: a tag with its inner places in order, or a group of such places."""
 
-    __slots__ = ("sig", "plus", "pages", "aside", "chars", "linked", "text", "inner")
+    __slots__ = ("sig", "plus", "pages", "aside", "chars", "linked", "text", "inner", "kinds")
 
     def __init__(self, sig: str, aside: bool = False, pages: int = 1):
         self.sig, self.aside, self.pages = sig, aside, pages
         self.plus, self.chars, self.linked, self.text = False, 0, 0, None
         self.inner: list[Node] = []
+        self.kinds: list[str] = []  # of a root: up to LEAST_PAGES hashes of distinct pages
 
     def dump(self) -> list:
-        return [self.sig, int(self.plus), self.pages, int(self.aside), self.chars, self.linked, self.text, [n.dump() for n in self.inner]]
+        return [self.sig, int(self.plus), self.pages, int(self.aside), self.chars, self.linked, self.text, [n.dump() for n in self.inner], self.kinds]
 
     @classmethod
     def load(cls, x: list) -> "Node":
         n = cls(x[0], bool(x[3]), x[2])
         n.plus, n.chars, n.linked, n.text, n.inner = bool(x[1]), x[4], x[5], x[6], [cls.load(y) for y in x[7]]
+        n.kinds = x[8]
         return n
 
     def size(self) -> int:
@@ -203,6 +205,8 @@ def merge(a: Node, b: Node, same_page: bool = False) -> Node:
     a.aside |= b.aside
     a.chars, a.linked, a.text = a.chars + b.chars, a.linked + b.linked, _join_text(a.text, b.text)
     a.inner = align(a.inner, b.inner, same_page)
+    if b.kinds:
+        a.kinds = sorted({*a.kinds, *b.kinds})[:LEAST_PAGES]
     return a
 
 
@@ -263,7 +267,11 @@ def fold(nodes: list[Node]) -> list[Node]:
 
 def _kept(text: str) -> str:
     """A text as a wrapper holds it: long ones as a hash, so that every length can be told to be the same."""
-    return text if len(text) < LONG else "#" + hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+    return text if len(text) < LONG else "#" + _hash(text)
+
+
+def _hash(text: str) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
 def page_wrapper(found: list[tuple[tuple[str, ...], bool, str, int]]) -> Node:
@@ -293,7 +301,9 @@ def page_wrapper(found: list[tuple[tuple[str, ...], bool, str, int]]) -> Node:
         n.inner = fold([folded(x) for x in n.inner])
         return n
 
-    return folded(root)
+    out = folded(root)
+    out.kinds = [_hash("\n".join(x[2] for x in found))]
+    return out
 
 
 def places(root: Node) -> dict[tuple[str, ...], dict]:
@@ -320,7 +330,7 @@ def rules(root: Node) -> dict:
     """The main part's path and the paths whose text belongs to the template."""
     at = places(root)
     total = root.pages
-    fixed = {p for p, x in at.items() if x["text"] and total >= LEAST_PAGES and x["pages"] >= total and not x["plus"]}
+    fixed = {p for p, x in at.items() if x["text"] and len(root.kinds) >= LEAST_PAGES and x["pages"] >= total and not x["plus"] and _tag(p[-1] if p else "") != "h1"}
     chars: dict[tuple[str, ...], int] = {}
     linked: dict[tuple[str, ...], int] = {}
     for p, x in at.items():
@@ -336,6 +346,8 @@ def rules(root: Node) -> dict:
         if len(inner) != 1 or _tag(inner[0][-1]) in LEAVES or x and x["chars"] and not x["aside"] and main not in fixed:
             break
         main = inner[0]
+    flowing = {q for p, x in at.items() if x["chars"] and not x["aside"] and p not in fixed for q in (p, p[:-1] if p and _tag(p[-1]) in LEAVES else p)}
+    fixed = {p for p in fixed if p[: len(main)] != main or not (any(_tag(s) == "article" for s in p) or p in flowing or p[:-1] in flowing)}
     return {"main": list(main), "fixed": [list(p) for p in sorted(fixed)]}
 
 
