@@ -2,9 +2,10 @@
 
 import random
 
-from tests.llm.helpers import by_id, docs, words
+from tests.llm.helpers import against_sql, by_id, docs, words
 
 import corpus_pipeline
+from tidemark.llm import license_rules
 from tidemark.llm import page_wrapper as pw
 from tidemark.llm import robust_quality
 
@@ -86,3 +87,61 @@ def test_equal_texts_of_copies_and_series_stay():
                     assert text[: len(first) + 3] == first + body(0 if pages[0] == pages[-1] else i)
         if n >= 5:
             assert all("Imprint of the house" not in t for t in main_texts([html(i) for i in range(n)])), "a notice beside the main part goes"
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+BSD3 = BSD + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+GPL3 = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."""
+GPL2 = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version."""
+
+
+def test_wrapped_published_licences(spark):
+    texts = [MIT, BSD, BSD3, GPL3, GPL2]
+    rows = list(enumerate(texts + ["/*\n" + "\n".join(" * " + x for x in t.split("\n")) + "\n */" for t in texts]))
+    got = by_id(license_rules.scan(docs(spark, rows)))
+    want = [["MIT"], ["BSD-2-Clause"], ["BSD-3-Clause"], ["GPL-3.0"], ["GPL-2.0"]]
+    assert [got[i]["licenses"] for i in range(10)] == want + want
+    assert got[3]["sentence_ids"] == ["gpl-grant", "gpl3-later", "gpl-hope"] and got[4]["n_sentences"] == 6
+    assert got[0]["sentence_ids"] == ["mit-grant", "mit-notice", "mit-asis"]
+
+
+def test_licences_against_sql_on_a_larger_table(spark):
+    sf = "/root/testdata/sf0.01"
+    against_sql(license_rules.op5_license_rules(spark, sf), license_rules.OP5_SQL, sf)

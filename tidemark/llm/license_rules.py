@@ -2,7 +2,9 @@
 
 A text becomes a sequence of normalised sentences (split at line ends and at
 sentence marks before white space; lower case; runs of anything but a-z and 0-9
-become one space).  Known sentences map to identifiers, unknown ones drop out,
+become one space).  Lines up to the next sentence mark, blank line or colon at a
+line's end are also joined: if that is a known sentence, wrapped, it counts
+instead of its lines.  Known sentences map to identifiers, unknown ones drop out,
 and the sequence of identifiers is matched against licence rules in order; a
 match uses its identifiers up, so that a longer licence goes before one that it
 contains.
@@ -10,6 +12,9 @@ contains.
 Only DataFrame functions are used, row by row without a shuffle, so copies and
 hot sources cost no more than other rows.
 
+The SQL looks up single lines and ``SENTENCES`` only; the tables hold no wrapped
+licences, so both agree there.
+
 Defined results: null and empty texts have no sentences and no licence; a
 licence found several times counts once; an empty table gives no rows; other
 columns pass through, and own names win over clashing ones.
@@ -69,6 +74,17 @@ SENTENCES = {
     "spdx license identifier mpl 2 0": "mpl2-ref",
 }
 
+_GPL = "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"
+#: Published sentences that go on after those above, and their identifiers.
+PUBLISHED = {
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-grant",
+    "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software": "mit-notice",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "mit-asis",
+    f"this program is free software {_GPL} either version 3 of the license or at your option any later version": "gpl-grant gpl3-later",
+    f"this program is free software {_GPL} either version 2 of the license or at your option any later version": "gpl-grant gpl2-later",
+    _GPL: "gpl-grant",
+}
+
 #: Ordered rules: licence, class, and the pattern of its identifiers (each followed by one space).
 RULES = [
     ("BSD-3-Clause", "permissive", r"bsd-grant bsd-source bsd-binary bsd-endorse |bsd3-ref "),
@@ -91,19 +107,22 @@ _MARKS = r"[.!?;]+([ \t\r\n]|\z)"
 _OTHER = r"[^a-z0-9\n]+"
 
 
-def sentences(text: Column) -> Column:
-    """The normalised sentences of a text, empty ones included."""
-    marked = F.regexp_replace(F.lower(F.coalesce(text.cast("string"), F.lit(""))), _MARKS, "\n")
-    return F.split(F.regexp_replace(marked, _OTHER, " "), " ?\n ?")
+def passages(text: Column) -> Column:
+    """The normalised text up to each sentence mark, blank line or colon at a line's end; line ends inside are kept."""
+    marked = F.regexp_replace(F.lower(F.coalesce(text.cast("string"), F.lit(""))), _MARKS, "\n\n")
+    return F.split(F.regexp_replace(F.regexp_replace(marked, ":[ \t\r]*\n", "\n\n"), _OTHER, " "), "(?: ?\n ?){2,}")
 
 
 def scan(docs: DataFrame, text: str = "text", known: dict[str, str] | None = None, rules: list[tuple[str, str, str]] | None = None) -> DataFrame:
     """``docs`` with n_sentences, sentence_ids, licenses and license_classes (arrays, in rule order) behind its own columns."""
-    known, rules = known or SENTENCES, rules or RULES
+    known, rules = known or SENTENCES | PUBLISHED, rules or RULES
     made = ["n_sentences", "sentence_ids", "licenses", "license_classes"]
     lookup = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    out = docs.drop(*[m for m in made if m in docs.columns]).withColumn("__s", F.transform(sentences(F.col(f"`{text}`")), lambda s: F.struct((F.trim(s) != "").alias("full"), F.element_at(lookup, F.trim(s)).alias("id"))))
-    out = out.withColumn("n_sentences", F.size(F.filter("__s", lambda x: x["full"])).cast("bigint")).withColumn("sentence_ids", F.filter(F.col("__s")["id"], lambda x: x.isNotNull())).drop("__s")
+    lines = lambda p: F.filter(F.transform(F.split(p, "\n"), lambda s: F.trim(s)), lambda s: s != "")
+    out = docs.drop(*[m for m in made if m in docs.columns]).withColumn("__s", F.transform(passages(F.col(f"`{text}`")), lines))
+    whole = lambda p: F.element_at(lookup, F.array_join(p, " "))
+    found = F.flatten(F.transform("__s", lambda p: F.when((F.size(p) > 1) & whole(p).isNull(), F.transform(p, lambda s: F.element_at(lookup, s))).otherwise(F.array(whole(p)))))
+    out = out.withColumn("n_sentences", F.size(F.flatten("__s")).cast("bigint")).withColumn("sentence_ids", F.flatten(F.transform(F.filter(found, lambda x: x.isNotNull()), lambda x: F.split(x, " ")))).drop("__s")
     rest = F.when(F.size("sentence_ids") > 0, F.concat(F.array_join("sentence_ids", " "), F.lit(" "))).otherwise("")
     out = out.withColumn("__rest", rest)
     names, classes = [], []
