@@ -43,7 +43,10 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _presences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A user is present on a day with a purchase or an error; the day's content is the last such event's kind."""
+    """A user is present on a day with a purchase or an error; the day's content is the last such event's kind.
+
+    Other kinds are no presence, as in the SQL: the days without one are the gaps that close records.
+    """
     rows = table(spark, sf_dir, "events").where(F.col("event_type").isin("purchase", "error")).select(F.col("user_id").cast("string").alias("record_key"), F.col("ts").cast("date").alias("day"), "ts", "event_id", "event_type")
     return rows.groupBy("record_key", "day").agg(F.md5(F.max_by("event_type", F.struct("ts", "event_id"))).alias("content_hash"))
 
@@ -689,6 +692,7 @@ t AS (SELECT source, snapshot_date, split_part(url, '/', 4) AS slug, size, creat
 
 
 def _best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best revisions of a listing that the events of kind error stand for, as in the SQL; other kinds are no revisions."""
     e = table(spark, sf_dir, "events").where("event_type = 'error'")
     listing = e.select(F.when(F.col("user_id") % 2 == 0, "mvs").otherwise("npu").alias("source"), F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lpad(F.col("event_id").cast("string"), 8, "0")).alias("created"), F.floor(F.col("value") * 100).cast("bigint").alias("size"), F.concat(F.lit("http://x/"), F.col("event_id").cast("string")).alias("url"), F.lit("").alias("api_hash"))
     return revisions.best_per_day(listing, least_bytes=3000)
