@@ -391,8 +391,84 @@ def test_long_units_follow_the_path_weights(model_path):
     lattice = piece_lattice.Lattice.at(model_path, 0.5)
     weights = {p: w for p, w in paths(lattice, b"abab")}
     rng = np.random.default_rng(0)
-    seen = Counter(tuple(lattice.sample_long(b"abab", lambda step: rng.random())) for _ in range(4000))
+    seen = Counter(tuple(lattice.sample_huge(np.frombuffer(b"abab", np.uint8), lambda step: rng.random())) for _ in range(4000))
     total = sum(weights.values())
     for p, w in weights.items():
         want = 4000 * w / total
         assert abs(seen[p] - want) < 6 * np.sqrt(want + 1) + 3
+
+
+def test_middling_units_follow_the_path_weights(model_path, monkeypatch):
+    """Parts summed in the logarithms, drawn through the table as short ones are."""
+    monkeypatch.setattr(piece_lattice, "LONG", 3)
+    lattice = piece_lattice.Lattice(model_path, 0.5)
+    weights = {p: w for p, w in paths(lattice, b" hello")}
+    n, total = 20_000, sum(weights.values())
+    ids, offsets = lattice.sample(np.frombuffer(b"hello" * n, np.uint8), np.arange(n + 1) * 5, np.arange(n), 1)
+    seen = Counter(tuple(ids[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:]))
+    assert set(seen) <= set(weights)
+    for p, w in weights.items():
+        assert abs(seen[p] - n * w / total) < 6 * np.sqrt(n * w / total + 1) + 3
+
+
+def test_parts_end_only_where_no_edge_crosses(model_path, monkeypatch):
+    lattice = piece_lattice.Lattice.at(model_path, 1.0)
+    monkeypatch.setattr(piece_lattice, "PLACES", 50)
+    raw = [("深度学习模型" * 9 + "abcabc" + "ру́сский" * 8).encode(), b"https://example.org/" + b"x" * 90, "ภาษาไทย".encode() * 12]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    end = np.cumsum([len(r) for r in raw])
+    start = end - np.array([len(r) for r in raw])
+    s, e = lattice.cut(data, start, end)
+    want = []
+    for x, y in zip(start.tolist(), end.tolist()):
+        a, b, _, _ = lattice.edges(data[x:y], np.array([0]), np.array([y - x]))
+        inner = [p for p in range(1, y - x) if not ((a < p) & (b > p)).any() and (data[x + p] & 0xC0) != 0x80]
+        want += [(x + p, x + q) for p, q in zip([0, *inner], [*inner, y - x])]
+    assert list(zip(s.tolist(), e.tolist())) == want
+
+
+def test_extreme_draws_stay_inside_their_node(model_path):
+    """The largest draw, after more than two million nodes: the same pieces as in an empty table, and the text comes back."""
+    texts = ["internationalisation of heterogeneous thresholds", "a" * 300, "深度学习" * 30, "x" * 5000]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
+    plain = piece_lattice.Lattice(model_path, 1.0)
+    full = piece_lattice.Lattice(model_path, 1.0)
+    full.add(np.array([1], np.uint64), [b" some"])
+    full.nodes = 3_000_000
+    for lattice in (plain, full):
+        lattice.sample(data, offsets, np.arange(len(texts)), 0)  # units are known from here on
+    draws = np.float64(1 - 2.0**-53)
+    got = []
+    for lattice in (plain, full):
+        state = np.sort(lattice.end_node.values[lattice.end_node.keys != 0])[1 if lattice is full else 0 :]
+        while len(state):
+            target = (state << piece_lattice.SHARE_BITS) + (np.full(len(state), draws) * 2.0**piece_lattice.SHARE_BITS).astype(np.int64)
+            edge = np.searchsorted(lattice.key, target, side="right")
+            assert ((lattice.key[edge] - 1) >> piece_lattice.SHARE_BITS == state).all()
+            state = lattice.back[edge].astype(np.int64)
+            state = state[state >= 0]
+    for lattice in (plain, full):
+        ids, rows = lattice.sample(data, offsets, np.arange(len(texts)), 3)
+        back, ends = lattice.decode(ids, rows)
+        assert np.array_equal(back, data) and np.array_equal(ends, offsets)
+        got.append(ids.tolist())
+    assert got[0] == got[1]
+
+
+def test_text_without_spaces_costs_little_more(model_path):
+    import time
+
+    lattice = piece_lattice.Lattice.at(model_path, 1.0)
+    rng = random.Random(3)
+    english = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(90_000)).encode()[:400_000]
+    chinese = "".join(chr(0x4E00 + int(rng.paretovariate(0.6)) % 6000) for _ in range(400_000 // 3)).encode()
+    took = []
+    for raw in (english, chinese):
+        lattice.clear()
+        begin = time.process_time()
+        ids, rows = lattice.sample(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), np.array([1]), 0)
+        took.append((time.process_time() - begin) / len(raw))
+        back, _ = lattice.decode(ids, rows)
+        assert back.tobytes() == raw
+    assert took[1] < 2 * took[0], took

@@ -74,6 +74,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have yet, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 def keyed_text(df: DataFrame, key: str, text: str) -> DataFrame:
     """Only the key (bigint) and the text (string; null: empty), under the fixed names ``k`` and ``t``."""
     small_batches(df.sparkSession)

@@ -6,7 +6,14 @@ character without a piece of its own passes through its bytes.  A piece of rank
 r weighs (r + 2) ** -sharpness.  Forward sums run from the unit's start; each
 segmentation is then drawn from the end back, an edge with the probability that
 its own path sums give it.  Random numbers depend on the seed, the row's key, the unit's number in the row and
-the step alone, so a row gets the same pieces in any partitioning.
+the step alone.  A draw is compared with shares of 2 ** -36 inside its node, so
+that a row gets the same pieces in any partitioning, wherever its units are held.
+
+A unit of more than ``LONG`` bytes (text without spaces) is cut at the places
+that no edge crosses: its lattice falls into independent parts there, so the
+distribution stays the same.  Parts that stay long are summed in the logarithms,
+all of a chunk at once; those of more than ``HUGE`` bytes keep only their
+forward sums and find their edges again block by block on the way back.
 
 Forward sums are kept by distinct unit for as long as a task runs (bounded;
 what does not fit is computed again).  Decoding joins the pieces' bytes; a
@@ -29,11 +36,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import release, small_batches, table
+from .common import fresh, release, small_batches, table
 
 CHUNK = 768 << 10
-LONG = 64
+LONG, HUGE, PLACES = 64, 4096, 32 << 10
 CACHE_EDGES = 2_000_000
+#: A share of a node in fixed point: 36 bits, behind the number of its node.
+SHARE_BITS = 36
 _ALL = tk.ByteClass(np.ones(256, bool), lower=False)
 _SPACE = 0x20
 _MARK = "▁"
@@ -94,15 +103,17 @@ class Lattice:
 
     def clear(self) -> None:
         self.end_node = tk.HashTable()
-        self.key, self.back, self.piece = np.zeros(0), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.key, self.back, self.piece = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.nodes = 0
 
-    def edges(self, data: np.ndarray, unit_start: np.ndarray, unit_end: np.ndarray):
-        """(from byte, to byte, piece, log weight) of all edges inside the units, which tile ``data``."""
+    def edges(self, data: np.ndarray, unit_start: np.ndarray, unit_end: np.ndarray, before: int | None = None):
+        """(from byte, to byte, piece, log weight) of all edges inside the units, which tile ``data``; of characters that start ``before`` a place, if given."""
         limit = np.repeat(unit_end, unit_end - unit_start)
         lead = (data & 0xC0) != 0x80
         at = np.flatnonzero(lead)
         width = np.diff(np.append(at, len(data)))
+        if before is not None:
+            at, width = at[at < before], width[at < before]
         alone = np.zeros(len(data), bool)  # characters with a piece of their own
         found = []
         live = at
@@ -132,7 +143,7 @@ class Lattice:
         return [np.concatenate(x) for x in zip(*found)]
 
     def add(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
-        """Forward sums of new units of at most LONG bytes."""
+        """Forward sums of new units of at most HUGE bytes: in the logarithms if one has more than LONG."""
         lens = np.array([len(p) for p in pieces], np.int64)
         data = np.frombuffer(b"".join(pieces), np.uint8)
         ends = np.cumsum(lens)
@@ -143,62 +154,121 @@ class Lattice:
         a, b = a + unit, b + unit
         place = b - (begins[unit] + unit)
         order = np.lexsort((piece, b, place))
-        a, b, piece, unit, place = a[order], b[order], piece[order], unit[order], place[order]
-        weight = np.exp(weight[order] + self.tilt * (b - a))
+        a, b, piece, unit, place, weight = a[order], b[order], piece[order], unit[order], place[order], weight[order]
         total = len(data) + len(pieces)
-        forward = np.zeros(total)
-        forward[begins + np.arange(len(pieces))] = 1.0
-        share = np.zeros(len(a))
-        cuts = np.searchsorted(place, np.arange(1, LONG + 2))
-        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if lo == hi:
-                continue
-            value = forward[a[lo:hi]] * weight[lo:hi]
-            share[lo:hi] = value
-            np.add.at(forward, b[lo:hi], value)
+        roots = begins + np.arange(len(pieces))
+        widest = int(lens.max())
+        cuts = np.searchsorted(place, np.arange(1, widest + 2))
+        if widest <= LONG:
+            weight = np.exp(weight + self.tilt * (b - a))
+            forward = np.zeros(total)
+            forward[roots] = 1.0
+            share = np.zeros(len(a))
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if lo == hi:
+                    continue
+                value = forward[a[lo:hi]] * weight[lo:hi]
+                share[lo:hi] = value
+                np.add.at(forward, b[lo:hi], value)
+        else:
+            forward = np.full(total, -np.inf)
+            forward[roots] = 0.0
+            share = np.zeros(len(a))
+            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if lo == hi:
+                    continue
+                value, to = forward[a[lo:hi]] + weight[lo:hi], b[lo:hi]
+                first = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1])))
+                top = np.maximum.reduceat(value, first)
+                node = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(to))))
+                share[lo:hi] = np.exp(value - np.where(np.isfinite(top), top, 0.0)[node])
+                with np.errstate(divide="ignore"):
+                    forward[to[first]] = np.where(np.isfinite(top), top, 0.0) + np.log(np.add.reduceat(share[lo:hi], first))
         alive = share > 0
         a, b, piece, unit, share = a[alive], b[alive], piece[alive], unit[alive], share[alive]
         order = np.argsort(b, kind="stable")
         a, b, piece, unit, share = a[order], b[order], piece[order], unit[order], share[order]
         first = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1])))
-        group = np.cumsum(np.concatenate(([False], b[1:] != b[:-1])))
-        sums = np.cumsum(share / np.add.reduceat(share, first)[group])
-        base = np.concatenate(([0.0], sums))[first]
-        within = np.minimum(sums - base[group], 1.0)
-        last = np.append(first[1:], len(b)) - 1
-        within[last] = 1.0
+        size = np.diff(np.append(first, len(b)))
+        within = self._shares(share, first, size)
         is_root = a == begins[unit] + unit
         shift = self.nodes
-        self.key = np.concatenate((self.key, b + shift + within))
+        self.key = np.concatenate((self.key, ((b + shift) << SHARE_BITS) + within))
         self.back = np.concatenate((self.back, np.where(is_root, -1, a + shift).astype(np.int32)))
         self.piece = np.concatenate((self.piece, piece.astype(np.int32)))
         self.end_node.add(hashes, ends + np.arange(len(pieces)) + shift)
         self.nodes += total + 1
 
-    def sample_long(self, raw: bytes, draw) -> list[int]:
-        """One long unit, in the logarithms; draw(step) gives the uniform numbers."""
-        data = np.frombuffer(raw, np.uint8)
-        a, b, piece, weight = self.edges(data, np.array([0]), np.array([len(data)]))
-        order = np.lexsort((piece, b))
-        a, b, piece, weight = a[order], b[order], piece[order], weight[order]
-        cuts = np.searchsorted(b, np.arange(len(data) + 2))
-        forward = np.full(len(data) + 1, -np.inf)
+    @staticmethod
+    def _shares(share: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Running sums of each node's shares in fixed point, from the node's own edges alone; the last is the whole."""
+        out = np.zeros(len(share))
+        total = np.zeros(len(first))
+        for j in range(int(size.max(initial=0))):  # as many steps as a node has edges at most
+            here = np.flatnonzero(size > j)
+            total[here] += share[first[here] + j]
+            out[first[here] + j] = total[here]
+        fixed = np.floor(out / np.repeat(total, size) * 2.0**SHARE_BITS).astype(np.int64)
+        fixed[first + size - 1] = 1 << SHARE_BITS
+        return fixed
+
+    def cut(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, end) of the parts of long units between the places that no edge crosses."""
+        lens = end - start
+        to = np.cumsum(lens)
+        flat = np.concatenate([data[s:e] for s, e in zip(start.tolist(), end.tolist())])
+        origin = np.repeat(start - (to - lens), lens)  # of each byte: its place in ``data`` less that in ``flat``
+        crossed = np.zeros(len(flat) + 1, np.int32)
+        for lo in range(0, len(flat), PLACES):  # edges of the characters that start in one block of places
+            hi = min(lo + PLACES, len(flat))
+            top = min(hi + self.longest, len(flat))
+            own = slice(int(np.searchsorted(to, lo, side="right")), int(np.searchsorted(to, top - 1, side="right")) + 1)
+            begins, ends = np.maximum((to - lens)[own], lo) - lo, np.minimum(to[own], top) - lo
+            a, b, _, _ = self.edges(flat[lo:top], begins, ends, hi - lo)
+            np.add.at(crossed, a + lo + 1, 1)
+            np.add.at(crossed, b + lo, -1)
+        free = np.cumsum(crossed)[:-1] == 0
+        free &= (flat & 0xC0) != 0x80
+        free[to - lens] = True
+        places = np.flatnonzero(free)
+        return (found := places + origin[places]), found + np.diff(np.append(places, len(flat)))
+
+    def sample_huge(self, data: np.ndarray, draw) -> list[int]:
+        """One part of more than HUGE bytes, in the logarithms; draw(step) gives the uniform numbers."""
+        size = len(data)
+        forward = np.full(size + 1, -np.inf)
         forward[0] = 0.0
-        for end in range(1, len(data) + 1):
-            part = slice(cuts[end], cuts[end + 1])
-            if cuts[end] < cuts[end + 1]:
-                terms = forward[a[part]] + weight[part]
-                top = terms.max()
-                forward[end] = top if top == -np.inf else top + math.log(np.exp(terms - top).sum())
-        out, node, step = [], len(data), 0
-        while node:
-            part = slice(cuts[node], cuts[node + 1])
-            terms = np.exp(forward[a[part]] + weight[part] - forward[node])
-            sums = np.cumsum(terms)
-            pick = min(int(np.searchsorted(sums, draw(step) * sums[-1], side="right")), len(sums) - 1)
-            out.append(int(piece[part][pick]))
-            node = int(a[part][pick])
-            step += 1
+
+        def ending(lo: int, hi: int):
+            """The edges that end at the places lo + 1 .. hi, by their end, and where those of each place begin."""
+            base = max(0, lo - self.longest)
+            while base and (data[base] & 0xC0) == 0x80:
+                base -= 1
+            a, b, piece, weight = self.edges(data[base:hi], np.array([0]), np.array([hi - base]))
+            own = np.flatnonzero(b + base > lo)
+            own = own[np.lexsort((piece[own], b[own]))]
+            a, b = a[own] + base, b[own] + base
+            return a, piece[own], weight[own], np.searchsorted(b, np.arange(lo + 1, hi + 2))
+
+        blocks = [(lo, min(lo + PLACES, size)) for lo in range(0, size, PLACES)]
+        for lo, hi in blocks:
+            a, _, weight, cuts = ending(lo, hi)
+            for end in range(lo + 1, hi + 1):
+                part = slice(cuts[end - lo - 1], cuts[end - lo])
+                if part.start < part.stop:
+                    terms = forward[a[part]] + weight[part]
+                    top = terms.max()
+                    forward[end] = top if top == -np.inf else top + math.log(np.exp(terms - top).sum())
+        out, node, step = [], size, 0
+        for lo, hi in reversed(blocks):
+            a, piece, weight, cuts = ending(lo, hi)
+            while node > lo:
+                part = slice(cuts[node - lo - 1], cuts[node - lo])
+                sums = np.cumsum(np.exp(forward[a[part]] + weight[part] - forward[node]))
+                pick = min(int(np.searchsorted(sums, draw(step) * sums[-1], side="right")), len(sums) - 1)
+                out.append(int(piece[part][pick]))
+                node = int(a[part][pick])
+                step += 1
         return out[::-1]
 
     def sample(self, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -211,6 +281,11 @@ class Lattice:
         if not len(data):
             return np.zeros(0, np.int32), np.zeros(n + 1, np.int64)
         start, end, row = units(data, offsets)
+        long = np.flatnonzero(end - start > LONG)
+        if len(long):
+            more_s, more_e = self.cut(data, start[long], end[long])
+            start, end = np.sort(np.concatenate((np.delete(start, long), more_s))), np.sort(np.concatenate((np.delete(end, long), more_e)))
+            row = np.searchsorted(offsets, start, side="right") - 1
         hashes = tk.word_hashes(data, start, end, _ALL)
         first_unit = np.searchsorted(row, np.arange(n))
         number = np.arange(len(start)) - first_unit[row]
@@ -222,21 +297,26 @@ class Lattice:
             with np.errstate(over="ignore"):
                 return (tk.splitmix(s + np.uint64((step + 1) * 0xC2B2AE3D27D4EB4F & tk.MASK)) >> np.uint64(11)) * 2.0**-53
 
-        long = end - start > LONG
-        short = np.flatnonzero(~long)
+        size = end - start
+        huge = np.flatnonzero(size > HUGE)
         if len(self.key) > CACHE_EDGES:
             self.clear()
-        node = self.end_node.find(hashes[short])
-        unknown = np.flatnonzero(node < 0)
-        if len(unknown):
-            fresh, first = np.unique(hashes[short[unknown]], return_index=True)
-            spots, raw = short[unknown[first]], data.tobytes()
-            self.add(fresh, [raw[x:y] for x, y in zip(start[spots].tolist(), end[spots].tolist())])
-            node = self.end_node.find(hashes[short])
+        node = np.full(len(start), -1, np.int64)
+        for least, most in ((0, LONG), (LONG, HUGE)):
+            some = np.flatnonzero((size > least) & (size <= most))
+            known = self.end_node.find(hashes[some])
+            unknown = np.flatnonzero(known < 0)
+            if len(unknown):
+                fresh, first = np.unique(hashes[some[unknown]], return_index=True)
+                spots = some[unknown[first]]
+                self.add(fresh, [data[x:y].tobytes() for x, y in zip(start[spots].tolist(), end[spots].tolist())])
+                known = self.end_node.find(hashes[some])
+            node[some] = known
         steps: list[tuple[np.ndarray, np.ndarray]] = []
-        active, state = short, node
+        active = np.flatnonzero(size <= HUGE)
+        state = node[active]
         while len(active):
-            target = state + draws(unit_seed[active], len(steps))
+            target = (state << SHARE_BITS) + (draws(unit_seed[active], len(steps)) * 2.0**SHARE_BITS).astype(np.int64)
             edge = np.searchsorted(self.key, target, side="right")
             steps.append((active, self.piece[edge]))
             state = self.back[edge].astype(np.int64)
@@ -246,9 +326,9 @@ class Lattice:
         for who, _ in steps:
             counts[who] += 1
         slow = {}
-        for u in np.flatnonzero(long).tolist():
+        for u in huge.tolist():
             s = unit_seed[u : u + 1]
-            slow[u] = self.sample_long(data[start[u] : end[u]].tobytes(), lambda step, s=s: float(draws(s, step)[0]))
+            slow[u] = self.sample_huge(data[start[u] : end[u]], lambda step, s=s: float(draws(s, step)[0]))
             counts[u] = len(slow[u])
         to = np.cumsum(counts)
         ids = np.empty(int(to[-1]), np.int32)
@@ -328,7 +408,8 @@ def encode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "t
 
     small_batches(docs.sparkSession)
     kept = docs.drop(*[m for m in made if m in docs.columns])
-    return kept.select("*", F.col(f"`{key}`").cast("bigint").alias("__key"), F.col(f"`{text}`").cast("string").alias("__text")).mapInArrow(run, schema)
+    k, t = fresh(docs, "k", "t")
+    return kept.select("*", F.col(f"`{key}`").cast("bigint").alias(k), F.col(f"`{text}`").cast("string").alias(t)).mapInArrow(run, schema)
 
 
 def decode(pieces: DataFrame, model_path: str, column: str = "pieces", out: str = "text") -> DataFrame:
@@ -350,7 +431,7 @@ def decode(pieces: DataFrame, model_path: str, column: str = "pieces", out: str
                 texts.append(flat.tobytes().decode("utf-8"))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, arrow.field(out).type)], schema=arrow)
 
-    return pieces.drop(out).select("*", F.col(f"`{column}`").alias("__ids")).mapInArrow(run, schema)
+    return pieces.drop(out).select("*", F.col(f"`{column}`").alias(fresh(pieces, "ids")[0])).mapInArrow(run, schema)
 
 
 def op10_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
