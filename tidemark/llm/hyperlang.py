@@ -26,10 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import small_batches, table
+from .common import fresh, small_batches, staged, table
 
 DIM = 1024
 ROWS, CHUNK = 96, 256 << 10
+#: More languages than this are refused: their prototypes are collected and sent to every task.
+MOST_LANGUAGES = 4096
 _TOP = 0x110000
 
 
@@ -136,7 +138,10 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", dim: int = DIM)
 
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{lang}`").cast("string").alias("l")).where("t is not null and l is not null")
-    found = rows.mapInArrow(learn, "lang string, i bigint, v double").groupBy("lang", "i").agg(F.sum("v").alias("v")).collect()  # languages x dim numbers
+    sums = staged(rows.mapInArrow(learn, "lang string, i bigint, v double").groupBy("lang", "i").agg(F.sum("v").alias("v")), "prototypes")
+    if sums.count() > MOST_LANGUAGES * dim:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: their prototypes do not fit the driver")
+    found = sums.collect()  # languages x dim numbers
     names = sorted({r["lang"] for r in found})
     protos = np.zeros((len(names), dim))
     place = {x: i for i, x in enumerate(names)}
@@ -170,7 +175,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
                 score[a:b] = np.where(size > 0, np.clip(cosine.max(axis=1), 0, 1), 0)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], known.take(pa.array(best)), pa.array(score)], schema=out)
 
-    kept = docs.select("*", F.col(f"`{text}`").cast("string").alias("__text"))
+    kept = docs.select("*", F.col(f"`{text}`").cast("string").alias(fresh(docs, "t")[0]))
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
