@@ -327,6 +327,77 @@ def test_phrase_and_proximity_matches(spark):
     assert near == [(1, "p", 1, 2), (1, "q", 1, 3), (2, "p", 0, 3), (2, "q", 2, 4)]
 
 
+def near_by_hand(rows, items, slop):
+    out = set()
+    for d, t in rows:
+        w = ALNUM.findall(low(t))
+        for i, x in items:
+            wanted, most = set(ALNUM.findall(low(x))), len(ALNUM.findall(low(x))) + slop
+            for a in range(len(w)):
+                if wanted and w[a] in wanted:
+                    size = next((b - a for b in range(a + 1, min(len(w), a + most) + 1) if wanted <= set(w[a:b])), None)
+                    if size:
+                        out.add((d, i, a, size))
+    return out
+
+
+def test_matches_against_brute_force(spark, monkeypatch):
+    rng = random.Random(12)
+    monkeypatch.setattr(phrase_index, "SEGMENT", 900)
+    monkeypatch.setattr(phrase_index, "CANDIDATES", 7)
+    items = [(i, words(rng, rng.randrange(1, 7), 9)) for i in range(25)] + [(30, "w1 w1 w1"), (31, "W1 W1 w1"), (32, "")]
+    rows = [(i, words(rng, rng.randrange(0, 40), 9)) for i in range(60)] + [(90, "w1 " * 300), (91, None)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    index = phrase_index.build_index(docs(spark, rows), work_path(spark, "t9"))
+    got = sorted((r["doc_id"], int(r["item_id"]), r["start"], r["size"]) for r in phrase_index.phrase_matches(index, bench, slop=2).collect())
+    assert got == sorted(near_by_hand(rows, items, 2))
+    exact = set()
+    for d, t in rows:
+        w = ALNUM.findall(low(t))
+        for i, x in items:
+            p = ALNUM.findall(low(x))
+            exact |= {(d, i, a, len(p)) for a in range(len(w) - len(p) + 1) if p and w[a : a + len(p)] == p}
+    got = sorted((r["doc_id"], int(r["item_id"]), r["start"], r["size"]) for r in phrase_index.phrase_matches(index, bench).collect())
+    assert got == sorted(exact)
+    near = by_id(phrase_index.contamination(docs(spark, rows), bench, work_path(spark, "t9"), slop=2))
+    assert {d: r["n_near"] for d, r in near.items()} == {d: len({i for e, i, _, _ in near_by_hand(rows, items, 2) if e == d}) for d, _ in rows}
+
+
+def test_common_words_do_not_fill_the_memory():
+    """A block of 4 MB of phrases over a heavy-tailed vocabulary: candidates stay bounded."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    share = 1 / np.arange(1, 3001)
+    text = lambda n: " ".join(f"w{i}" for i in rng.choice(3000, n, p=share / share.sum()))
+    items = [(str(i), text(60)) for i in range(16_500)]
+    rows = [(i, text(2000)) for i in range(60)] + [(60, items[5][1])]
+    index = _segment_of([t for _, t in rows])
+    tracemalloc.start()
+    phrases = phrase_index.Phrases(items, 10, True)
+    index.open(phrases.terms)
+    found = [(w, a) for which, at in index.occurrences(phrases) for w, a in zip(which.tolist(), at.tolist())]
+    near = list(index.near(phrases.sets, 5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1 << 30, peak
+    assert {a for _, a in found} >= set(range(120_000, 120_051)) and any(5 in phrases.sets.owners(w) for w, _, _ in near)
+
+
+def _segment_of(texts):
+    import pyarrow as pa
+
+    data, offsets = phrase_index.tk.string_buffers(pa.array(texts, pa.large_string()))
+    start, end, row = phrase_index.tk.word_spans(data, offsets, phrase_index.tk.ALNUM)
+    hashes = phrase_index.tk.word_hashes(data, start, end, phrase_index.tk.ALNUM)
+    order = np.argsort(hashes, kind="stable")
+    terms, first = np.unique(hashes[order], return_index=True)
+    deltas = np.diff(order, prepend=0)
+    deltas[first] = order[first]
+    freqs = np.diff(np.append(first, len(order)))
+    return phrase_index.Segment({"docs": np.arange(len(texts)).astype("<i8").tobytes(), "words": np.bincount(row, minlength=len(texts)).astype("<u4").tobytes(), "terms": terms.astype("<u8").tobytes(), "freqs": phrase_index._planes(freqs), "postings": phrase_index._planes(deltas)})
+
+
 # --- pieces --------------------------------------------------------------------------------------
 
 
