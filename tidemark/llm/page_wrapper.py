@@ -11,15 +11,25 @@ larger than the host's template, are merged in two steps (by a salt, then by
 host).  A host with a third of all pages gives every task one more small row.
 
 The wrapper tells, for each place in the template, on how many pages it occurs,
-how much text it holds, and whether that text is always the same.  The main
-part is the deepest container, but none inside an article, that still holds all
-of the host's changing text outside menus, page headers and footers, sidebars,
-notices, adverts, forms, reader comments and lists of links.  A page's main text is the text of the blocks in that part; a
-page without it goes by its own blocks in the same way.
+how much text it holds, and whether that text is always the same; what is the
+same on all of two or more distinct pages is template.  The main part is the
+deepest container, but none inside an article, that still holds all of the
+host's changing text outside menus, page headers and footers, sidebars,
+notices, adverts, forms, reader comments and lists of links.  A page's main text
+is the text of all blocks in that part; a page without it goes by its own blocks
+in the same way.
+
+Some elements are aside only by their place: a ``header``, and elements named as
+one or as a search, login or widget, belong to the text inside an ``article`` or
+``main``; outside, they are aside if the page has such an element, and otherwise
+unless they hold a headline.  An element that only its name makes an aside
+(``with-sidebar``) is none if it holds ``main`` or the ``h1``.
 
 Defined results: null and empty pages have the empty text; pages without a host
 form one group; rows that repeat an id stay separate; text outside any tag is a
-block; an empty table gives no rows; further columns are not read.
+block; what an unclosed element would hide (``head``, ``select``, a comment)
+stays; containers more than ``DEEP`` levels down count as their outer one; an
+empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -39,121 +49,200 @@ from .common import small_batches, staged, table
 SALTS, HELD_NODES = 16, 200_000
 #: Texts of so many characters or more are held in wrappers as hashes.
 LONG = 400
-#: A text counts as part of the template if it is the same on at least so many distinct pages (h1 never does).
-LEAST_PAGES = 5
+#: What is the same on one page alone says nothing: a text is template from so many distinct pages on.
+LEAST_PAGES = 2
+#: Levels of containers that a path tells apart.
+DEEP = 128
+#: Rules up to this many bytes go to all tasks at once; more are joined, with the pages of a host dealt out by a salt.
+RULE_BYTES = 32 << 20
 #: A container with this share of its text inside links is a list of links.
 LINKS = 0.7
 
 #: Tag classes.
-BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split())
+BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li listing main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul xmp".split())
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre blockquote figcaption caption summary".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is never text of the page.
-DROPPED = frozenset("script style noscript template svg math iframe object audio video canvas head title textarea select button datalist".split())
-#: Elements and words of class, id and role that are not main text.
-ASIDE_TAGS = frozenset("nav header footer aside form menu dialog search".split())
+#: Elements whose content is never text of the page, if they are closed.
+DROPPED = frozenset("noscript template svg math iframe object audio video canvas select button datalist".split())
+#: Elements that are not main text wherever they stand.
+ASIDE_TAGS = frozenset("nav footer aside form menu dialog search option".split())
+#: Words of class, id and role of what is not main text wherever it stands, and of what is not outside the main part.
 ASIDE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related reply replies search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget widgets alert complementary".split()
+    "ad ads adv advert adverts advertisement advertising alert breadcrumb breadcrumbs comment comments complementary consent contentinfo cookie cookies disqus footer gdpr menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related replies reply share sharing sidebar skip social sponsor sponsored subscribe subscription".split()
 )
+OUTER_WORDS = frozenset("banner header login masthead search signup toolbar widget widgets".split())
+#: First words of names that only tell of such elements elsewhere.
+TELLING = frozenset("no has with without hide show".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style|textarea|title|noscript|iframe|svg|template|xmp)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    r"<!--(?:-?>|.*?--!?>)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
+    r"|<(?P<raw>script|style|textarea|title)\b(?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')|=)*+>(?:.*?</(?P=raw)\b[^>]*>)?"
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')|=)*+)>"
+    r"|</?[a-zA-Z][^<>]*\Z",
     re.S | re.I,
 )
-_ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
+_ATTR = re.compile(r"""([^\s>/=][^\s>/=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _WORDS = re.compile(r"[a-z]+")
+_CONTENT, _OUTER, _ASIDE = 0, 1, 2
+
+
+class Element:
+    """An open or closed container: what its tag and names say, and what it turned out to hold."""
+
+    __slots__ = ("tag", "sig", "kind", "named", "outer", "inner", "holds_main", "holds_heading", "holds_article", "depth")
+
+    def __init__(self, tag: str, attrs: str, parent: "Element | None"):
+        self.tag, self.sig, self.kind, self.named = tag, tag, _ASIDE if tag in ASIDE_TAGS else _OUTER if tag == "header" else _CONTENT, False
+        self.outer = parent
+        main = tag in ("article", "main")
+        self.holds_main = self.holds_heading = self.holds_article = False
+        self.depth = parent.depth + 1 if parent else 1
+        if attrs and ("=" in attrs or "hidden" in attrs):
+            found: dict[str, str] = {}
+            for name, a, b, c in _ATTR.findall(attrs):
+                found.setdefault(name.lower(), a or b or c)
+            names = sorted({_DIGITS.sub("0", n) for n in found.get("class", "").split()})
+            self.sig = tag + "".join("." + n for n in names) + ("#" + _DIGITS.sub("0", found["id"]) if found.get("id") else "")
+            role = found.get("role", "").lower()
+            main = main or role in ("main", "article") or found.get("itemprop") == "articleBody"
+            if "hidden" in found or found.get("aria-hidden") == "true" or _HIDDEN.search(found.get("style", "")):
+                self.kind = _ASIDE
+            elif self.kind != _ASIDE and not main and tag not in ("html", "body"):
+                words: set[str] = set()
+                for n in (*found.get("class", "").split(), found.get("id", ""), role):
+                    split = _WORDS.findall(_CAMEL.sub(r"\1 \2", n).lower())
+                    if split and split[0] not in TELLING:
+                        words.update(split)
+                if words & ASIDE_WORDS:
+                    self.kind, self.named = _ASIDE, True
+                elif words & OUTER_WORDS:
+                    self.kind = _OUTER
+        self.inner = main or bool(parent and parent.inner)
+        if main or tag in HEADINGS:
+            e = parent
+            while e:
+                e.holds_main |= tag in ("main", "h1") or main and tag != "article"
+                e.holds_article |= main
+                e.holds_heading |= tag in HEADINGS
+                e = e.outer
+
+    def aside(self, page_has_main: bool) -> int:
+        """Whether its text, and that of all it holds, is aside: _CONTENT, _OUTER (by its place) or _ASIDE."""
+        if self.kind == _ASIDE:
+            return _CONTENT if self.named and self.holds_main or self.tag == "form" and (self.holds_main or self.holds_article) else _ASIDE
+        if self.kind == _OUTER and not self.inner and not self.holds_article:
+            bare = self.tag == "header" and (self.outer is None or self.outer.tag in ("body", "html"))
+            return _OUTER if page_has_main or bare or not self.holds_heading else _CONTENT
+        return _CONTENT
+
+
+_DIGITS, _CAMEL = re.compile(r"\d+"), re.compile(r"([a-z])([A-Z])")
+_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
+_ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th", "thead", "tbody")}
+_STOPS = frozenset("ul ol menu dl table select".split())
+
+
+def _closed(tokens: list[re.Match]) -> dict[int, int]:
+    """Of dropped elements and links that are closed: the number of the opening tag -> that of the closing one."""
+    out: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for i, m in enumerate(tokens):
+        tag = m.group("tag")
+        if tag is None or (tag := tag.lower()) not in DROPPED and tag != "a":
+            continue
+        if m.group("close"):
+            if opened.get(tag):
+                out[opened[tag].pop()] = i
+        elif not m.group("attrs").endswith("/"):
+            if tag == "a":
+                opened[tag] = []
+            opened.setdefault(tag, []).append(i)
+    return out
 
 
-def _signature(tag: str, attrs: str) -> tuple[str, bool]:
-    """(tag with its classes and id, whether it is not main text)."""
-    if not attrs or "=" not in attrs and "hidden" not in attrs:
-        return tag, tag in ASIDE_TAGS
-    found = {}
-    for name, a, b, c in _ATTR.findall(attrs):
-        found.setdefault(name.lower(), a or b or c)
-    words = " ".join(found.get(x, "") for x in ("class", "id", "role"))
-    split = set(_WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", words).lower()))
-    hidden = "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""))
-    names = sorted(set(found.get("class", "").split()))
-    sig = tag + "".join("." + n for n in names) + ("#" + re.sub(r"\d+", "0", found["id"]) if found.get("id") else "")
-    return sig, bool(tag in ASIDE_TAGS or hidden or (tag not in ("html", "body", "main", "article") and split & ASIDE_WORDS))
-
-
-def blocks(page: str) -> list[tuple[tuple[str, ...], bool, str, int]]:
-    """(path of signatures, not main text, text, characters inside links) of each block of text, in page order."""
-    out: list[tuple[tuple[str, ...], bool, str, int]] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, signature, not main text
+def blocks(page: str) -> list[tuple[tuple[str, ...], int, str, int]]:
+    """(path of signatures, whether it is aside, text, characters inside links) of each block of text, in page order."""
+    found: list[tuple[Element | None, str, int]] = []
+    stack: list[Element] = []
     held: list[str] = []
-    link, linked, dropped = 0, 0, 0
+    linked = 0
+    page_has_main = False
 
     def flush() -> None:
         nonlocal linked
         if held:
             text = " ".join(html_.unescape("".join(held)).split())
             if text:
-                out.append((tuple(s for _, s, _ in stack), any(x for _, _, x in stack), text, linked))
+                found.append((stack[-1] if stack else None, text, linked))
             held.clear()
         linked = 0
 
-    def pop_to(i: int) -> None:
-        flush()
-        del stack[i:]
-
-    at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at and not dropped:
+    tokens = list(_TOKEN.finditer(page))
+    closed = _closed(tokens)
+    at, i, link_to = 0, 0, -1
+    while i < len(tokens):
+        m = tokens[i]
+        if m.start() > at:
             held.append(page[at : m.start()])
-            if link:
+            if i <= link_to:
                 linked += m.start() - at
         at = m.end()
+        i += 1
         tag = m.group("tag")
         if tag is None:
             continue
         tag = tag.lower()
         if tag in DROPPED:
-            if tag not in VOID:
-                dropped = max(0, dropped + (-1 if m.group("close") else 1))
-            continue
-        if tag == "body":
-            dropped = 0
-        if dropped:
+            if i - 1 in closed:
+                at, i = tokens[closed[i - 1]].end(), closed[i - 1] + 1
             continue
-        if tag == "a":
-            link = 0 if m.group("close") else 1
+        if tag == "a" and not m.group("close"):
+            link_to = closed.get(i - 1, -1)
         if tag == "br":
             held.append(" ")
         if tag not in BLOCKS:
             continue
+        flush()
         if m.group("close"):
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    pop_to(i)
+            if tag in ("html", "body"):
+                continue
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k].tag == tag:
+                    del stack[k:]
                     break
-            else:
-                flush()
             continue
-        flush()
-        if stack and stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") and (stack[-1][0] == "p" or tag in ("p", stack[-1][0])):
+        top = stack[-1].tag if stack else ""
+        if top == "p" or top in HEADINGS and tag in ("p", top) or top == "option" and tag != "option":
             stack.pop()
-        ends = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th", "thead", "tbody")}.get(tag)
-        if ends:
-            stops = ("ul", "ol", "menu", "dl", "table", "select") + (("tr",) if tag in ("td", "th") else ())
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in stops:
+        if tag in _ENDS:
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k].tag in _STOPS or tag in ("td", "th") and stack[k].tag == "tr":
                     break
-                if stack[i][0] in ends:
-                    del stack[i:]
+                if stack[k].tag in _ENDS[tag]:
+                    del stack[k:]
                     break
-        if tag in VOID:
+        if tag in VOID or tag in ("html", "body") and any(e.tag == tag for e in stack):
             continue
-        sig, aside = _signature(tag, m.group("attrs"))
-        stack.append((tag, sig, aside))
-    if at < len(page) and not dropped:
+        stack.append(Element(tag, m.group("attrs"), stack[-1] if stack else None))
+        page_has_main |= stack[-1].inner
+    if at < len(page):
         held.append(page[at:])
     flush()
-    return out
+    made: dict[int, tuple[tuple[str, ...], int]] = {}
+
+    def place(e: Element | None) -> tuple[tuple[str, ...], int]:
+        chain = []
+        while e is not None and id(e) not in made:
+            chain.append(e)
+            e = e.outer
+        path, aside = made[id(e)] if e is not None else ((), _CONTENT)
+        for e in reversed(chain):
+            path, aside = (*path, e.sig) if len(path) < DEEP else path, max(aside, e.aside(page_has_main))
+            made[id(e)] = path, aside
+        return path, aside
+
+    return [(*place(e), text, chars) for e, text, chars in found]
 
 
 class Node:
@@ -234,34 +323,54 @@ def _signs(nodes: list[Node]) -> list[str]:
 
 
 def fold(nodes: list[Node]) -> list[Node]:
-    """Siblings with runs of equal places, and of equal groups of up to six, folded into repeated ones."""
+    """Siblings with runs of equal places, and of equal groups of any length, folded into repeated ones."""
     out: list[Node] = []
+    at: dict[str | tuple, list[int]] = {}  # where each kind of place stands in ``out``
+    groups: list[int] = []
+
+    def kind(n: Node) -> str | tuple:
+        return n.sig if n.sig != "()" else ("()", *_signs(n.inner))
+
+    def add(n: Node) -> None:
+        at.setdefault(kind(n), []).append(len(out))
+        if n.sig == "()":
+            groups.append(len(out))
+        out.append(n)
+
+    def take(k: int) -> list[Node]:
+        last = out[-k:]
+        for n in reversed(last):
+            at[kind(n)].pop()
+        del out[-k:]
+        while groups and groups[-1] >= len(out):
+            groups.pop()
+        return last
+
+    def same(a: list[Node], b: list[Node]) -> list[Node]:
+        return [merge(x, y, same_page=True) for x, y in zip(a, b)]
+
     for node in nodes:
-        out.append(node)
-        again = True
-        while again:
-            again = False
-            for k in range(1, 7):
-                last = out[-k:]
-                if k > 1 and len(out) > k and out[-k - 1].sig == "()" and _signs(out[-k - 1].inner) == _signs(last):
-                    group = out[-k - 1]
-                    group.inner = [merge(x, y, same_page=True) for x, y in zip(group.inner, last)]
-                    del out[-k:]
-                    again = True
-                    break
-                if len(out) >= 2 * k and _signs(out[-2 * k : -k]) == _signs(last):
-                    merged = [merge(x, y, same_page=True) for x, y in zip(out[-2 * k : -k], last)]
-                    del out[-2 * k :]
-                    if k == 1:
-                        out += merged
-                    else:
-                        for n in merged:
-                            n.plus = False
-                        group = Node("()")
-                        group.inner, group.plus = merged, True
-                        out.append(group)
-                    again = k > 1
-                    break
+        add(node)
+        while True:
+            end = len(out)
+            if groups and _signs(out[groups[-1]].inner) == _signs(out[groups[-1] + 1 :]):  # one more of the group before
+                last = take(end - 1 - groups[-1])
+                out[-1].inner = same(out[-1].inner, last)
+                continue
+            before = at[kind(out[-1])]
+            k = end - 1 - before[-2] if len(before) > 1 else 0
+            if not k or 2 * k > end or any(kind(x) != kind(y) for x, y in zip(reversed(out[-2 * k : -k]), reversed(out[-k:]))):
+                break
+            last = take(k)
+            merged = same(take(k), last)
+            if k == 1:
+                add(merged[0])
+                break
+            for n in merged:
+                n.plus = False
+            group = Node("()")
+            group.inner, group.plus = merged, True
+            add(group)
     return out
 
 
@@ -274,7 +383,7 @@ def _hash(text: str) -> str:
     return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
-def page_wrapper(found: list[tuple[tuple[str, ...], bool, str, int]]) -> Node:
+def page_wrapper(found: list[tuple[tuple[str, ...], int, str, int]]) -> Node:
     """The wrapper of one page."""
     root = Node("")
     path: list[Node] = [root]
@@ -291,7 +400,7 @@ def page_wrapper(found: list[tuple[tuple[str, ...], bool, str, int]]) -> Node:
             path[-1].inner.append(node)
             path.append(node)
         here = path[-1]
-        here.aside |= aside
+        here.aside |= bool(aside)
         here.chars += len(text)
         here.linked += min(linked, len(text))
         here.text = _join_text(here.text, _kept(text))
@@ -327,10 +436,18 @@ def places(root: Node) -> dict[tuple[str, ...], dict]:
 
 
 def rules(root: Node) -> dict:
-    """The main part's path and the paths whose text belongs to the template."""
-    at = places(root)
-    total = root.pages
-    fixed = {p for p, x in at.items() if x["text"] and len(root.kinds) >= LEAST_PAGES and x["pages"] >= total and not x["plus"] and _tag(p[-1] if p else "") != "h1"}
+    """The main part's path, the paths whose text belongs to the template, and the containers that are lists of links."""
+    return rules_of(places(root), root.pages, len(root.kinds))
+
+
+def rules_of(at: dict[tuple[str, ...], dict], total: int, distinct: int) -> dict:
+    """``rules`` from the places of a host's pages, how many pages there are, and how many distinct ones (up to LEAST_PAGES)."""
+
+    def of_template(p: tuple[str, ...], x: dict) -> bool:
+        heading = _tag(p[-1] if p else "") == "h1" and not any("header" in s for s in p)
+        return bool(x["text"]) and distinct >= LEAST_PAGES and x["pages"] >= total and not x["plus"] and not heading
+
+    fixed = {p for p, x in at.items() if of_template(p, x)}
     chars: dict[tuple[str, ...], int] = {}
     linked: dict[tuple[str, ...], int] = {}
     for p, x in at.items():
@@ -339,32 +456,38 @@ def rules(root: Node) -> dict:
         for i in range(len(p) + 1):
             chars[p[:i]] = chars.get(p[:i], 0) + x["chars"]
             linked[p[:i]] = linked.get(p[:i], 0) + x["linked"]
+    inside: dict[tuple[str, ...], list] = {}
+    for p in chars:
+        if p and (_tag(p[-1]) in LEAVES or linked[p] < LINKS * chars[p]):
+            inside.setdefault(p[:-1], []).append(p)
     main: tuple[str, ...] = ()
     while not (main and _tag(main[-1]) == "article"):
         x = at.get(main)
-        inner = [p for p in chars if len(p) == len(main) + 1 and p[:-1] == main and (_tag(p[-1]) in LEAVES or linked[p] < LINKS * chars[p])]
+        inner = inside.get(main, [])
         if len(inner) != 1 or _tag(inner[0][-1]) in LEAVES or x and x["chars"] and not x["aside"] and main not in fixed:
             break
         main = inner[0]
     flowing = {q for p, x in at.items() if x["chars"] and not x["aside"] and p not in fixed for q in (p, p[:-1] if p and _tag(p[-1]) in LEAVES else p)}
+    lists = {p for p in chars if p and len(p) > len(main) and p[: len(main)] == main and linked[p] >= LINKS * chars[p] and _tag(p[-1]) not in LEAVES and not any(_tag(s) == "article" for s in p) and p[:-1] not in flowing}
     fixed = {p for p in fixed if p[: len(main)] != main or not (any(_tag(s) == "article" for s in p) or p in flowing or p[:-1] in flowing)}
-    return {"main": list(main), "fixed": [list(p) for p in sorted(fixed)]}
+    return {"main": list(main), "fixed": [list(p) for p in sorted(fixed)], "lists": [list(p) for p in sorted(lists)]}
 
 
 def _tag(sig: str) -> str:
     return re.split(r"[.#]", sig, maxsplit=1)[0]
 
 
-def main_text(found: list[tuple[tuple[str, ...], bool, str, int]], rule: dict | None) -> str:
+def main_text(found: list[tuple[tuple[str, ...], int, str, int]], rule: dict | None) -> str:
     """The page's main blocks, one a line."""
 
-    def pick(main: tuple[str, ...], fixed: set) -> list[str]:
-        return [t for p, aside, t, _ in found if not aside and p[: len(main)] == main and p not in fixed]
+    def pick(main: tuple[str, ...], fixed: set, lists: set, most: int = _CONTENT) -> list[str]:
+        n = len(main)
+        return [t for p, aside, t, _ in found if aside <= most and p[:n] == main and p not in fixed and not (lists and any(p[:k] in lists for k in range(n + 1, len(p) + 1)))]
 
-    got = pick(tuple(rule["main"]), {tuple(p) for p in rule["fixed"]}) if rule else []
+    got = pick(tuple(rule["main"]), {tuple(p) for p in rule["fixed"]}, {tuple(p) for p in rule["lists"]}) if rule else []
     if not got and found:
         own = rules(page_wrapper(found))
-        got = pick(tuple(own["main"]), set())
+        got = pick(tuple(own["main"]), set(), {tuple(p) for p in own["lists"]}) or pick((), set(), set(), _OUTER)
     return "\n".join(got)
 
 
@@ -387,13 +510,16 @@ def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
         seen = 0
         for f in frames:
             for host, page in zip(f["host"], f["html"]):
-                own = page_wrapper(blocks(page))
+                if not (found := blocks(page)):
+                    continue
+                own = page_wrapper(found)
                 seen += 1
                 held[host] = merge(held[host], own) if host in held else own
                 if seen % 512 == 0 and sum(n.size() for n in held.values()) > HELD_NODES:
                     yield emit(held, salt)
                     held = {}
-        yield emit(held, salt)
+        if held:
+            yield emit(held, salt)
 
     def joined(f: pd.DataFrame) -> pd.DataFrame:
         f = f.sort_values(["pages", "wrapper"], ascending=[False, True])
@@ -411,26 +537,39 @@ def infer(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
 
 
 def extract(pages: DataFrame, wrappers: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """page_id, url, text and n_chars of every page."""
+    """page_id, url, text and n_chars of every page.
+
+    The rules of all hosts go to every task while they are few (``RULE_BYTES``).  Beyond that pages and rules meet
+    by host and salt, so that a host with a third of all pages is spread over SALTS tasks at least.
+    """
 
     def ruled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             yield pd.DataFrame({"host": f["host"], "rule": [json.dumps(rules(Node.load(json.loads(w)))) for w in f["wrapper"]]})
 
+    rule_table = staged(wrappers.mapInPandas(ruled, "host string, rule string"), "wrappers")
+    few = (rule_table.agg(F.sum(F.octet_length("host") + F.octet_length("rule"))).first()[0] or 0) <= RULE_BYTES
+    shared = pages.sparkSession.sparkContext.broadcast({r["host"]: r["rule"] for r in rule_table.collect()} if few else None)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, dict] = {}
         for f in frames:
             texts = []
-            for page, rule in zip(f["html"], f["rule"]):
-                if rule is not None and rule not in known:
+            for page, rule in zip(f["html"], f["host"].map(shared.value) if few else f["rule"]):
+                if not isinstance(rule, str):
+                    rule = None
+                elif rule not in known:
                     known = known if len(known) < 10_000 else {}
                     known[rule] = json.loads(rule)
                 texts.append(main_text(blocks(page), known.get(rule)))
             yield pd.DataFrame({"page_id": f["page_id"], "url": f["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
-    rule_table = staged(wrappers.mapInPandas(ruled, "host string, rule string"), "wrappers")
     rows = pages.select(F.col(f"`{key}`").cast("bigint").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"), host_of(F.col(f"`{url}`")).alias("host"), F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).alias("html"))
-    return rows.join(rule_table, "host", "left").select("page_id", "url", "html", "rule").mapInPandas(run, "page_id bigint, url string, text string, n_chars bigint")
+    if not few:
+        salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int"))
+        rows = rows.join(rule_table.withColumn("salt", F.explode(salts)), ["host", "salt"], "left").select("page_id", "url", "host", "html", "rule")
+    return rows.mapInPandas(run, "page_id bigint, url string, text string, n_chars bigint")
 
 
 def op4_page_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
