@@ -84,6 +84,28 @@ def test_near_duplicates_of_repeated_and_null_ids(spark):
     assert lsh_forest.near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_an_id_with_several_texts_is_one_vertex(spark):
+    a, b = "a b c d e f g h", "p q r s t u v w"
+    got = [tuple(r)[:1] + tuple(r)[2:] for r in lsh_forest.near_duplicates(docs(spark, [(7, a), (3, a), (7, b), (9, b), (7, ""), (5, "z"), (5, "y")]), words=4).collect()]
+    assert sorted(got) == [(3, 3, True), (5, 5, True), (5, 5, True), (7, 3, False), (7, 3, False), (7, 3, False), (9, 3, False)]
+
+
+def test_crowded_regions_lose_no_link(spark, monkeypatch):
+    """Near copies with similarities about the threshold, met in small blocks; hubs and neighbours alone would lose links."""
+    rng = random.Random(11)
+    monkeypatch.setattr(lsh_forest, "MEMBERS", 40)
+    monkeypatch.setattr(lsh_forest, "QUERY_SHINGLES", 600)
+    monkeypatch.setattr(lsh_forest, "LANES", 1)
+    rows, base = [], words(rng, 60, 4000).split()
+    for i in range(300):
+        copy = list(base)
+        for _ in range(rng.randrange(0, 4)):
+            copy[rng.randrange(len(copy))] = f"n{rng.randrange(10**6)}"
+        rows.append((1000 - i, " ".join(copy)))
+    got = by_id(lsh_forest.near_duplicates(docs(spark, rows), words=4))
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == exact_components(rows, 4)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
     got = {r["k"]: r["comp"] for r in graph.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
