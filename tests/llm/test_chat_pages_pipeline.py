@@ -108,6 +108,22 @@ def test_pipeline_stages(spark):
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
 
+def test_stages_go_by_texts_of_repeated_and_null_ids(spark):
+    words = lambda k, n=40: " ".join(f"t{k}w{i}" for i in range(n))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
+    a, b, c = words(1), words(2), words(3) + " " + item
+    rows = [(3, a), (7, a), (7, b), (7, b), (8, b + " x"), (9, c), (9, words(4)), (None, words(5)), (None, words(6) + " " + item), (None, None), (None, words(5)), (10, words(7))]
+    d = docs(spark, rows).withColumn("v", F.lit("clash")).withColumn("H", F.lit(0)).withColumn("lang", F.when(F.col("doc_id") == 3, F.col("lang")))
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, d, SF).collect()]
+    assert {x for x in kept if x[0] is not None and x[0] in (3, 9, 10)} == {(3, a), (9, c), (9, words(4)), (10, words(7))}
+    assert sorted(i for i, t in kept if t in (b, b + " x")) in ([7], [8]) and len([x for x in kept if x[0] is None]) == 4
+    kept = sorted(((r["doc_id"] or -1, r["text"] or "") for r in corpus_pipeline.decontaminate(spark, d, SF).collect()))
+    assert kept == sorted((i or -1, t or "") for i, t in rows if item not in (t or ""))
+    none = docs(spark, [])
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, SF).count() == 0
+
+
 def test_registry():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     assert set(queries.ORACLE_SQL) == {"op1_preference_chat", "op5_license_rules", "op6_line_spread"}
