@@ -36,6 +36,26 @@ def test_preference_pairs(spark):
     assert pc.preference_pairs(none).count() == 0
 
 
+def test_replies_of_neighbours(spark):
+    rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "one"), (0, 2, "user", "and"), (0, 3, "assistant", "two"), (0, 4, "user", "bye"), (1, 0, "user", "yo"), (1, 1, "assistant", "three"), (2, 0, "user", "alone"), (2, 1, "assistant", "four"), (4, 0, "user", "no reply"), (5, 0, "assistant", "five"), (-1, 0, "assistant", "minus"), (-2, 0, "assistant", "minus"), (None, 0, "user", "z")]
+    df = turns(spark, rows).withColumn("c", F.lit("clash")).withColumn("side", F.lit("clash")).withColumn("id", F.lit(7))
+    got = by_id(pc.format_pairs(pc.replaced_replies(df)), "pair_id")
+    assert set(got) == {0, 1, 2, 4, 5, -1, -2}
+    assert got[0]["n_common_turns"] == 3 and got[0]["rejected_id"] == 1 and got[0]["rejected"] == "<|im_start|>assistant\nthree<|im_end|>\n" and got[0]["status"] == "pair"
+    assert got[0]["chosen"].startswith("<|im_start|>assistant\ntwo") and got[0]["chosen"].endswith("bye<|im_end|>\n")
+    assert got[1]["n_common_turns"] == 1 and "two" in got[1]["rejected"]
+    assert (got[2]["n_common_turns"], got[2]["rejected_id"], got[2]["rejected"], got[2]["status"]) == (1, None, "", "prefix")
+    assert (got[4]["n_common_turns"], got[4]["status"]) == (1, "equal") and (got[5]["rejected_id"], got[5]["status"]) == (None, "prefix")
+    assert got[-1]["status"] == got[-2]["status"] == "equal" and got[-1]["rejected_id"] == -2
+    pairs = spark.createDataFrame([(10, 0, 1)], "pair_id bigint, chosen_id bigint, rejected_id bigint")
+    assert pc.preference_pairs(pc.with_pairs(df, pairs)).count() == 1
+
+
+def test_most_pairs_share_turns(spark):
+    got = pc.op1_preference_chat(spark, SF)
+    assert got.where("n_common_turns > 0").count() > 0.9 * got.count()
+
+
 def page(i, body="", extra="", comments=""):
     return f"""<!DOCTYPE html><html><head><title>T{i}</title><style>p{{}}</style></head><body class="site"><header><a href=/>Site</a></header>
 <nav><ul><li><a href=1>Home</a><li><a href=2>Item {i}</a></ul></nav><div id="cookie-notice">We use cookies {i}</div>
@@ -134,5 +154,5 @@ def test_every_query_returns_every_row(spark, name):
     df = queries.QUERIES[name](spark, SF)
     table = {"op1_preference_chat": "conversations", "op4_page_wrapper": "pages"}.get(name, "documents")
     rows = spark.read.parquet(f"{SF}/{table}.parquet")
-    want = rows.select(F.floor(F.col("conv_id") / 2)).distinct().count() if table == "conversations" else rows.count()
+    want = rows.select("conv_id").distinct().count() if table == "conversations" else rows.count()
     assert df.count() == want

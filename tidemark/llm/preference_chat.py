@@ -14,7 +14,14 @@ turn numbers come first and ties are ordered by role and text; a side without
 turns has an empty completion; ``status`` tells equal pairs, pairs of which one
 side is the other's prefix, and pairs without an assistant turn to train on
 from proper ones; rows with a null conversation or pair id are left out of
-pairs; an empty table gives no rows; other columns are not read.
+pairs; an empty table gives no rows; other columns are not read, whatever their
+names.
+
+``replaced_replies`` makes preference pairs of a plain table of conversations:
+each conversation is chosen over its own turns up to the last assistant turn
+with the last reply of its neighbour in that turn's place.  A conversation whose
+neighbour has no reply is paired with those turns alone, one without an
+assistant turn with itself.
 """
 
 from __future__ import annotations
@@ -22,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import fresh, table
 
 START, END = "<|im_start|>", "<|im_end|>"
 
@@ -53,27 +60,61 @@ def _spans(turns: Column) -> Column:
     return F.aggregate(turns, start, step, lambda acc: acc["spans"])
 
 
-def preference_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """pair_id, chosen_id, rejected_id, n_common_turns, prompt, chosen, chosen_mask, rejected, rejected_mask, status.
-
-    ``turns`` also has pair_id and side (0 chosen, 1 rejected); see ``with_pairs``.
-    """
-    one = F.struct(
+def _turn(turn: str, role: str, text: str) -> Column:
+    return F.struct(
         F.col(f"`{turn}`").cast("bigint").alias("turn"),
         F.coalesce(F.col(f"`{role}`").cast("string"), F.lit("unknown")).alias("role"),
         F.replace(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), F.lit("<|im_"), F.lit("<| im_")).alias("text"),
     )
-    rows = turns.where(F.col("pair_id").isNotNull() & F.col(f"`{conv}`").isNotNull()).select("pair_id", "side", F.col(f"`{conv}`").alias("conv"), one.alias("t"))
+
+
+def _sides(rows: DataFrame) -> DataFrame:
+    """id, ids and sorted turns of both sides, of rows (id, side, conv, t)."""
 
     def side(i: int, what: str) -> Column:
         return F.when(F.col("side") == i, F.col(what))
 
-    pairs = rows.groupBy("pair_id").agg(
-        F.max(side(0, "conv")).alias("chosen_id"),
-        F.max(side(1, "conv")).alias("rejected_id"),
+    return rows.groupBy("id").agg(
+        F.max(side(0, "conv")).alias("a_id"),
+        F.max(side(1, "conv")).alias("b_id"),
         F.sort_array(F.collect_list(side(0, "t"))).alias("a"),
         F.sort_array(F.collect_list(side(1, "t"))).alias("b"),
     )
+
+
+def preference_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """pair_id, chosen_id, rejected_id, n_common_turns, prompt, chosen, chosen_mask, rejected, rejected_mask, status.
+
+    ``turns`` also has pair_id and side (0 chosen, 1 rejected); see ``with_pairs``.
+    """
+    rows = turns.where(F.col("pair_id").isNotNull() & F.col(f"`{conv}`").isNotNull()).select(F.col("pair_id").alias("id"), "side", F.col(f"`{conv}`").alias("conv"), _turn(turn, role, text).alias("t"))
+    return format_pairs(_sides(rows).select(F.col("id").alias("pair_id"), F.col("a_id").alias("chosen_id"), F.col("b_id").alias("rejected_id"), "a", "b"))
+
+
+def replaced_replies(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """pair_id and chosen_id (the conversation), rejected_id (whose reply it gets), a and b (the turns of both sides); neighbours are 2 k and 2 k + 1."""
+    c = F.col(f"`{conv}`").cast("bigint")
+    rows = turns.where(c.isNotNull()).select(F.floor(c / 2).cast("bigint").alias("id"), F.pmod(c, F.lit(2)).cast("int").alias("side"), c.alias("conv"), _turn(turn, role, text).alias("t"))
+
+    def one(own: str, other: str) -> Column:
+        return F.struct(F.col(f"{own}_id").alias("pair_id"), F.col(f"{other}_id").alias("other_id"), F.col(own).alias("a"), F.col(other).alias("o"))
+
+    def last_reply(turns: Column) -> Column:
+        """The place of the last assistant turn, counted from 1; 0: none."""
+        back = F.array_position(F.reverse(F.transform(turns, lambda t: t["role"] == "assistant")), True)
+        return F.when(back > 0, F.size(turns) - back + 1).otherwise(0).cast("int")
+
+    both = _sides(rows).select(F.inline(F.array(one("a", "b"), one("b", "a")))).where("pair_id is not null")
+    both = both.withColumn("at", last_reply(F.col("a"))).withColumn("theirs", last_reply(F.col("o")))
+    reply = F.struct(F.get("a", F.col("at") - 1)["turn"].alias("turn"), F.lit("assistant").alias("role"), F.get("o", F.col("theirs") - 1)["text"].alias("text"))
+    before = F.slice("a", 1, F.greatest(F.col("at") - 1, F.lit(0)))
+    given = (F.col("at") > 0) & (F.col("theirs") > 0)
+    b = F.when(F.col("at") == 0, F.col("a")).when(given, F.concat(before, F.array(reply))).otherwise(before)
+    return both.select("pair_id", F.col("pair_id").alias("chosen_id"), F.when(given, F.col("other_id")).alias("rejected_id"), "a", b.alias("b"))
+
+
+def format_pairs(pairs: DataFrame) -> DataFrame:
+    """The columns of ``preference_pairs`` from pair_id, chosen_id, rejected_id and the turns of both sides, a and b, in order."""
     same = F.zip_with("a", "b", lambda x, y: x.isNotNull() & y.isNotNull() & (x["role"] == y["role"]) & (x["text"] == y["text"]))
     differ = F.array_position(F.transform(same, lambda x: F.coalesce(x, F.lit(False))), False)
     common = F.when(differ > 0, differ - 1).otherwise(F.size(same)).cast("int")
@@ -101,34 +142,41 @@ def preference_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn"
 
 def with_pairs(turns: DataFrame, pairs: DataFrame, conv: str = "conv_id") -> DataFrame:
     """``turns`` with pair_id and side, from a table (pair_id, chosen_id, rejected_id) of wanted pairs."""
-    sides = pairs.select("pair_id", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("chosen_id").alias("c")), F.struct(F.lit(1).alias("side"), F.col("rejected_id").alias("c")))).alias("s")).select("pair_id", "s.side", "s.c")
-    return turns.drop("pair_id", "side").join(sides, F.col(f"`{conv}`") == F.col("c")).drop("c")
+    turns = turns.drop("pair_id", "side")
+    (c,) = fresh(turns, "c")
+    sides = pairs.select("pair_id", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("chosen_id").alias("c")), F.struct(F.lit(1).alias("side"), F.col("rejected_id").alias("c")))).alias("s")).select("pair_id", "s.side", F.col("s.c").alias(c))
+    return turns.join(sides, F.col(f"`{conv}`") == F.col(c)).drop(c)
 
 
 def op1_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The registered query: of all conversations, each even id is chosen over the odd id after it."""
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    turns = turns.withColumn("pair_id", F.floor(F.col("conv_id") / 2).cast("bigint")).withColumn("side", F.pmod("conv_id", F.lit(2)).cast("int"))
+    """The registered query: every conversation is chosen over its own turns with the neighbour's last reply."""
 
     def spans(c: str) -> Column:
         return F.array_join(F.transform(c, lambda s: F.concat(s["s"].cast("string"), F.lit(":"), s["e"].cast("string"))), ",").alias(c)
 
-    return preference_pairs(turns).select("pair_id", "chosen_id", "rejected_id", "n_common_turns", "prompt", "chosen", spans("chosen_mask"), "rejected", spans("rejected_mask"), "status")
+    pairs = format_pairs(replaced_replies(table(spark, sf_dir, "conversations")))
+    return pairs.select("pair_id", "chosen_id", "rejected_id", "n_common_turns", "prompt", "chosen", spans("chosen_mask"), "rejected", spans("rejected_mask"), "status")
 
 
 OP1_SQL = r"""
-WITH t AS (
-  SELECT CAST(floor(conv_id / 2.0) AS BIGINT) AS pair_id, ((conv_id % 2) + 2) % 2 AS side, conv_id,
-         coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|im_', '<| im_') AS text,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), replace(coalesce(text, ''), '<|im_', '<| im_')) AS pos
+WITH v AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|im_', '<| im_') AS text,
+         conv_id + 1 - 2 * (((conv_id % 2) + 2) % 2) AS other
   FROM conversations WHERE conv_id IS NOT NULL),
-a AS (SELECT * FROM t WHERE side = 0), b AS (SELECT * FROM t WHERE side = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM v),
+l AS (SELECT conv_id, max(other) AS other, coalesce(max(pos) FILTER (WHERE role = 'assistant'), 0) AS at FROM o GROUP BY conv_id),
+y AS (SELECT o.conv_id, o.text FROM o JOIN l ON o.conv_id = l.conv_id AND o.pos = l.at),
+a AS (SELECT conv_id AS pair_id, 0 AS side, conv_id, role, text, pos FROM o),
+b AS (SELECT l.conv_id AS pair_id, 1 AS side, CAST(NULL AS BIGINT) AS conv_id, o.role, o.text, o.pos
+      FROM l JOIN o ON o.conv_id = l.conv_id AND (l.at = 0 OR o.pos < l.at)
+      UNION ALL SELECT l.conv_id, 1, l.other, 'assistant', y.text, l.at FROM l JOIN y ON y.conv_id = l.other WHERE l.at > 0),
+t AS (SELECT * FROM a UNION ALL SELECT * FROM b),
 m AS (SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, coalesce(a.pos, b.pos) AS pos,
              coalesce(a.role = b.role AND a.text = b.text, false) AS same
       FROM a FULL JOIN b ON a.pair_id = b.pair_id AND a.pos = b.pos),
 n AS (SELECT pair_id, coalesce(min(pos) FILTER (WHERE NOT same) - 1, count(*)) AS n FROM m GROUP BY pair_id),
 r AS (SELECT t.*, n.n, '<|im_start|>' || role || chr(10) AS head, text || '<|im_end|>' AS body FROM t JOIN n USING (pair_id)),
-c AS (SELECT *, sum(CASE WHEN pos > n THEN length(head) + length(body) + 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY pos) - length(body) - 1 AS s FROM r),
+c AS (SELECT *, sum(CASE WHEN pos > n THEN length(head) + length(body) + 1 ELSE 0 END) OVER (PARTITION BY pair_id, side ORDER BY pos) - length(body) - 1 AS s FROM r),
 g AS (SELECT pair_id, side, max(conv_id) AS id, max(n) AS n,
              coalesce(string_agg(head || body || chr(10), '' ORDER BY pos) FILTER (WHERE pos <= n), '') AS prompt,
              coalesce(string_agg(head || body || chr(10), '' ORDER BY pos) FILTER (WHERE pos > n), '') AS rest,
