@@ -395,6 +395,16 @@ def _missing_links(dealt: DataFrame, sets: DataFrame, floor: int, percent: int)
     return rows.repartition("region", "qb", "mb").sortWithinPartitions("region", "qb", "mb", "role", "k").mapInArrow(compare, "a bigint, b bigint")
 
 
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``comps`` (k, comp) after more links (a, b), a written table that is not read again."""
+    if links.isEmpty():
+        return comps
+    out = staged(components(comps.select(F.col("k").alias("a"), F.col("comp").alias("b")).unionByName(links)), "components")
+    drop_staged(links)
+    drop_staged(comps)
+    return out
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row; ``words`` to a shingle, linked from ``percent`` % Jaccard on."""
     rows = keyed_text(docs, key, text)
@@ -412,13 +422,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     floor = int(SIZE * (percent / 100 - 0.2))  # five standard deviations below the threshold
     links = staged(confirmed(near.where(F.col("same") >= floor).select("a", "b"), sets, percent), "links")
     comps = staged(components(links), "components")
+    drop_staged(links)
     more = confirmed(_hub_pairs(live, active, comps).join(near.where(F.col("same") >= floor), ["a", "b"], "left_anti"), sets, percent)
-    joined = staged(more, "links")
-    links = links.unionByName(joined)
-    dealt = staged(crowded(live, places, staged(components(links), "components"), floor), "crowded")
-    if dealt.limit(1).count():
+    comps = _joined(comps, staged(more, "links"))
+    dealt = staged(crowded(live, places, comps, floor), "crowded")
+    if not dealt.isEmpty():
         own = staged(shingle_table(_with_ids(rows, staged(dealt.select("k").distinct(), "ids")), words), "sets")
-        links = links.unionByName(staged(_missing_links(dealt, own, floor, percent), "links"))
+        comps = _joined(comps, staged(_missing_links(dealt, own, floor, percent), "links"))
         drop_staged(own)
     drop_staged(dealt)
     for old in (sets, places, live, near, active):
@@ -428,10 +438,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     # an id with several texts links their groups
     texts = signed.where("n_shingles > 0 and k is not null").select("k", F.struct("d1", "d2", "n_shingles").alias("d"))
     several = staged(texts.groupBy("k").agg(F.min("d").alias("x"), F.max("d").alias("y")).where("x <> y").select("k"), "several")
-    if several.limit(1).count():
+    if not several.isEmpty():
         theirs = signed.join(several, "k", "left_semi").where("n_shingles > 0").join(copies, ["d1", "d2", "n_shingles"])
-        links = links.unionByName(staged(theirs.select(F.col("k").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct(), "links"))
-    comps = staged(components(links), "components")
+        comps = _joined(comps, staged(theirs.select(F.col("k").alias("a"), F.col("rep").alias("b")).where("a <> b").distinct(), "links"))
     drop_staged(reps)
 
     placed = signed.select("k", "d1", "d2", "n_shingles").join(copies, ["d1", "d2", "n_shingles"], "left").select("k", "n_shingles", F.coalesce("rep", "k").alias("rep"))
