@@ -145,3 +145,46 @@ def test_wrapped_published_licences(spark):
 def test_licences_against_sql_on_a_larger_table(spark):
     sf = "/root/testdata/sf0.01"
     against_sql(license_rules.op5_license_rules(spark, sf), license_rules.OP5_SQL, sf)
+
+
+def _published():
+    from pathlib import Path
+
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-3.0": "GPL-3", "GPL-2.0": "GPL-2", "MPL-2.0": "MPL-2.0", "LGPL-3.0": "LGPL-3"}
+    found = {k: (folder / v).read_text() for k, v in names.items() if (folder / v).exists()}
+    whole = "IN NO EVENT SHALL THE COPYRIGHT HOLDER BE LIABLE."
+    return found | {"MIT": MIT, "BSD-3-Clause": f"Copyright (c) 2020, Somebody\nAll rights reserved.\n\n{BSD3}\n\n{whole}", "BSD-2-Clause": f"Copyright 2020 Somebody\n{BSD}\n{whole}"}
+
+
+def _unwrapped(text):
+    import re
+
+    return "\n\n".join(" ".join(p.split()) for p in re.split(r"\n[ \t]*\n", text))
+
+
+def test_whole_published_licences(spark):
+    texts = _published()
+    forms = [lambda t: t, _unwrapped, lambda t: " ".join(t.split()), lambda t: "Some project\n" + t]
+    rows = [(10 * i + j, f(t)) for i, t in enumerate(texts.values()) for j, f in enumerate(forms)]
+    df = docs(spark, rows).withColumnRenamed("n_chars", "rest").withColumnRenamed("lang", "parts").withColumnRenamed("source", "hits")
+    got = by_id(license_rules.scan(df))
+    for i, name in enumerate(texts):
+        assert [got[10 * i + j]["licenses"] for j in range(len(forms))] == [[name]] * len(forms), name
+    assert got[0]["parts"] == "en" and got[0]["hits"] == "s0" and got[0]["rest"] == len(rows[0][1])
+
+
+def test_rules_learned_from_texts(spark):
+    texts = {k: v for k, v in _published().items() if len(v) > 5000}
+    known, rules = license_rules.learn({k: ("any", v) for k, v in texts.items()})
+    assert len(rules) == len(texts)
+    rows = [(10 * i + j, f(t)) for i, t in enumerate(texts.values()) for j, f in enumerate((lambda t: t, _unwrapped))] + [(999, "no licence here. none at all."), (1000, None)]
+    got = by_id(license_rules.scan(docs(spark, rows), known=known, rules=rules))
+    for i, name in enumerate(texts):
+        assert [got[10 * i + j]["licenses"] for j in range(2)] == [[name]] * 2
+    assert got[999]["licenses"] == got[1000]["licenses"] == []
+
+
+def test_licences_against_sql_on_the_largest_table(spark):
+    sf = "/root/testdata/sf0.1"
+    against_sql(license_rules.op5_license_rules(spark, sf), license_rules.OP5_SQL, sf)
