@@ -1,4 +1,5 @@
 import importlib
+import importlib.util
 import os
 import sys
 
@@ -57,5 +58,18 @@ def test_imports_without_the_corpus_operators(monkeypatch):
     importlib.reload(entry_module)
 
 
+def test_an_error_inside_the_corpus_operators_is_not_hidden(monkeypatch):
+    for m in [m for m in sys.modules if m.startswith("tidemark.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, m)
+    spec = importlib.util.find_spec("corpus_pipeline")
+    if not spec:
+        pytest.skip("the corpus operators are not here")
+    monkeypatch.setitem(sys.modules, "numpy", None)
+    with pytest.raises(ImportError):
+        importlib.reload(entry_module)
+    monkeypatch.undo()
+    importlib.reload(entry_module)
+
+
 def test_sql_is_only_for_registered_queries():
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())

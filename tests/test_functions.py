@@ -28,7 +28,7 @@ def test_canonical(spark):
 
 
 def test_parts_keep_repeated_digits(spark):
-    got = spark.createDataFrame([("111111111111111",), ("12345678",), ("x",), (None,), ("3569380356438012",)], "v string").select(*[c.alias(n) for n, c in identifiers.parts(F.col("v")).items()]).collect()
+    got = spark.createDataFrame([("111111111111111",), ("12345678",), ("x",), (None,), ("3569380356438012",)], "v string").transform(lambda d: identifiers.with_parts(d, "v")).select(*identifiers.PARTS).collect()
     assert [r["imei_kind"] for r in got] == ["IMEI", "SERIAL", "INVALID", "INVALID", "IMEISV"]
     assert got[0]["imei_norm"] == "1" * 15 and got[0]["imei_luhn_valid"] is False
     assert got[4]["imei_luhn_valid"] is True and got[4]["imei_was_repaired"] is True and got[4]["tac"] == "35693803"

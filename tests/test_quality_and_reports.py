@@ -81,3 +81,13 @@ def test_volume(spark):
     v = reports.volume(df).first()
     assert (v["revisions"], v["folded"], v["bytes_published"], v["bytes_downloaded"], v["bytes_not_fetched"]) == (4, 2, 1003, 700, 300)
     assert reports.human(1_500_000) == "1.50 MB" and reports.human(12, "uk") == "12 Б"
+
+
+def test_row_assertions_join_the_field_pass(spark):
+    assert quality.row_condition("SELECT count(*) FROM t WHERE a > 1 AND b IS NULL", "t") == "a > 1 AND b IS NULL"
+    for sql in ("SELECT count(*) FROM u WHERE a > 1", "SELECT count(*) FROM t WHERE a IN (SELECT b FROM u)", "SELECT count(DISTINCT a) FROM t WHERE a > 1", "SELECT count(*) FROM (SELECT a FROM t GROUP BY 1)", "SELECT count(*) FROM t"):
+        assert quality.row_condition(sql, "t") is None
+    df = spark.createDataFrame([(1, 1), (1, 2), (3, None)], "a int, b int")
+    config = {"table": "asserted", "assertions": [{"name": n, "sql": f"SELECT count(*) FROM {q}"} for n, q in {"big": "asserted WHERE a > 2", "twice": "(SELECT a FROM asserted GROUP BY a HAVING count(*) > 1)", "null": "asserted where b > 5;", "other": "(SELECT 1 WHERE false)"}.items()]}
+    report = quality.run(df, config)
+    assert {r.check: r.bad for r in report.results if r.field == "_assertion_"} == {"big": 1, "twice": 1, "null": 0, "other": 0}

@@ -33,6 +33,20 @@ def test_folder_is_idempotent_and_atomic(spark, tmp_path):
     assert f.state().count() == 2
 
 
+def test_two_folds_of_one_day_keep_all_events(spark, tmp_path):
+    f = Folder(spark, str(tmp_path / "s"), LOOSE)
+    f.fold(raw(spark, [("1", "a", None), ("2", "b", None)]), "a", date(2024, 1, 1), "h1", api_hash="p1")
+    f.fold(raw(spark, [("1", "a", None), ("2", "b", None), ("3", "c", None)]), "a", date(2024, 1, 1), "h2", api_hash="p2")
+    assert sorted((r["fold"], r["record_key"], r["event"]) for r in f.history().collect()) == [(1, "1", "appeared"), (1, "2", "appeared"), (2, "3", "appeared")]
+    assert f.state().count() == 3
+    # a fold that crashed before its commit: its events do not count, and the repeated fold writes them again
+    f.history().where("fold = 2").drop("fold", "snapshot_date", "source").write.parquet(f"{tmp_path}/s/history/snapshot_date=2024-01-02/source=a/fold=3")
+    assert f.history().count() == 3
+    f.fold(raw(spark, [("1", "a", None), ("2", "b", None)]), "a", date(2024, 1, 2), "h3", api_hash="p3")
+    assert [(r["record_key"], r["event"]) for r in f.history().where("fold = 3").collect()] == [("3", "disappeared")]
+    assert f.known_by_hash("p3") == ("a", date(2024, 1, 2)) and f.known_by_hash("p9") is None and f.known_by_hash(None) is None
+
+
 def test_stream_folds_files_in_order(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()

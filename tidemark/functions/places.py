@@ -71,12 +71,19 @@ def unit_kind(name: Column) -> Column:
     return out
 
 
+def longest_contained(text: Column, stems: dict[str, object], first: Column | None = None) -> Column:
+    """The value of the longest stem that the text contains (of equally long ones the earlier), behind the branches of ``first``; null if there is none."""
+    out = first
+    for stem, value in sorted(stems.items(), key=lambda x: -len(x[0])):
+        hit = text.contains(stem)
+        out = F.when(hit, value) if out is None else out.when(hit, value)
+    return F.lit(None).cast("string") if out is None else out
+
+
 def region_by_marks_and_stems(name: Column) -> Column:
     """Special marks first, then the longest stem that the name contains; null if there is none."""
     key = letters_key(name)
     out = None
     for mark, region in MARKS.items():
         out = F.when(key.contains(mark), region) if out is None else out.when(key.contains(mark), region)
-    for stem, region in sorted(stems(), key=lambda x: -len(x[0])):
-        out = out.when(key.contains(stem), region)
-    return out
+    return longest_contained(key, dict(stems()), out)

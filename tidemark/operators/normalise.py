@@ -13,12 +13,14 @@ from tidemark.operators.fold import with_asof
 
 
 def spelling_map(state: DataFrame, aliases: DataFrame, words: dict[str, str] | None, known: DataFrame | None = None) -> DataFrame:
-    """The resolved spellings of the state; ``known`` (of the same resolver version) saves those it has."""
+    """The resolved spellings of the state, with the resolver's version; ``known`` saves those it has of the same version."""
     wanted = state.select(F.col("nz").alias("nz_raw")).distinct()
-    if known is None:
-        return match.resolve(wanted, aliases, words)
+    version = F.lit(match.RESOLVER_VERSION)
+    if known is None or "resolver_version" not in known.columns:
+        return match.resolve(wanted, aliases, words).withColumn("resolver_version", version)
+    known = known.where(F.col("resolver_version") == version)
     fresh = wanted.alias("w").join(known.alias("k"), F.col("w.nz_raw").eqNullSafe(F.col("k.nz_raw")), "left_anti")
-    return known.unionByName(match.resolve(fresh, aliases, words))
+    return known.unionByName(match.resolve(fresh, aliases, words).withColumn("resolver_version", version))
 
 
 def normalised(state: DataFrame, spellings: DataFrame, units: DataFrame, calendar: DataFrame, as_of: date) -> DataFrame:
@@ -28,7 +30,7 @@ def normalised(state: DataFrame, spellings: DataFrame, units: DataFrame, calenda
     m = spellings.select(F.col("nz_raw").alias("m_raw"), "nz_clean", "brand", "manufacturer", "model", F.col("method").alias("nz_method"), "homoglyph_fixed")
     rows = rows.join(m, F.col("nz").eqNullSafe(F.col("m_raw")), "left").drop("m_raw")
     rows = with_asof(rows, calendar, "first_seen", "first_seen_after")
-    ids = identifiers.parts(F.col("imei"))
+    rows = identifiers.with_parts(rows, "imei")
     return rows.select(
         "record_key",
         "ovd",
@@ -48,7 +50,7 @@ def normalised(state: DataFrame, spellings: DataFrame, units: DataFrame, calenda
         "nz_method",
         "homoglyph_fixed",
         F.col("imei").alias("imei_raw"),
-        *[c.alias(n) for n, c in ids.items()],
+        *identifiers.PARTS,
         "first_seen",
         F.when(F.col("is_present"), F.lit(last_read)).otherwise(F.col("last_seen")).alias("last_seen"),
         "disappeared_at",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
@@ -109,24 +110,42 @@ def field_checks(name: str, spec: dict, today: date) -> list[_Check]:
     return out
 
 
-def measure(df: DataFrame, fields: dict[str, dict], today: date) -> tuple[int, list[tuple[_Check, int, int]]]:
-    """Row count, and for each check how many rows are bad and were considered; a single pass."""
+_ROWS = re.compile(r"^\s*select\s+count\(\*\)\s+from\s+(\w+)\s+where\s+(.*?)\s*;?\s*$", re.I | re.S)
+_NESTED = re.compile(r"\b(select|group\s+by|having|limit|order\s+by|union|join)\b", re.I)
+
+
+def row_condition(sql: str, table: str | None) -> str | None:
+    """The condition of an assertion that counts rows of the table one by one; None for any other."""
+    found = _ROWS.match(sql)
+    return found[2] if found and found[1] == table and not _NESTED.search(found[2]) else None
+
+
+def measure(df: DataFrame, fields: dict[str, dict], today: date, more: list[Column] | None = None) -> tuple[int, list[tuple[_Check, int, int]]] | tuple[int, list[tuple[_Check, int, int]], list[int]]:
+    """Row count, and for each check how many rows are bad and were considered; a single pass, which also counts the rows of ``more`` conditions if given."""
     checks = [c for name, spec in fields.items() for c in field_checks(name, spec or {}, today)]
     columns = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(checks):
         columns.append(F.count_if(c.bad).alias(f"bad{i}"))
         if c.of is not None:
             columns.append(F.count_if(c.of).alias(f"of{i}"))
+    columns += [F.count_if(c).alias(f"more{i}") for i, c in enumerate(more or [])]
     row = df.agg(*columns).first().asDict()
-    return row["rows"], [(c, row[f"bad{i}"], row.get(f"of{i}", row["rows"])) for i, c in enumerate(checks)]
+    found = row["rows"], [(c, row[f"bad{i}"], row.get(f"of{i}", row["rows"])) for i, c in enumerate(checks)]
+    return found if more is None else (*found, [row[f"more{i}"] for i in range(len(more))])
 
 
 def run(df: DataFrame, config: dict, today: date | None = None) -> Report:
-    """Runs a declaration: dataset_key, table, row_count_min, fields and assertions (SQL that counts violations)."""
+    """Runs a declaration: dataset_key, table, row_count_min, fields and assertions (SQL that counts violations).
+
+    Assertions on single rows are counted in the pass of the field checks; all others are one statement.
+    """
     spark = df.sparkSession
     today = today or datetime.now(timezone.utc).date()
     fields = config.get("fields") or {}
-    rows, measured = measure(df, fields, today)
+    asserted = config.get("assertions") or []
+    conditions = {a["name"]: c for a in asserted if (c := row_condition(a["sql"], config.get("table")))}
+    rows, measured, counted_rows = measure(df, fields, today, [F.expr(c) for c in conditions.values()])
+    violations = dict(zip(conditions, counted_rows))
     report = Report(config.get("dataset_key", config.get("table", "table")), rows, datetime.now(timezone.utc).isoformat(timespec="seconds"))
     floor = int(config.get("row_count_min", 0))
     report.results.append(Result("_table_", "row_count", "PASS" if rows >= floor else "FAIL", "critical", rows, int(rows < floor), f">= {floor:,}"))
@@ -138,8 +157,11 @@ def run(df: DataFrame, config: dict, today: date | None = None) -> Report:
         report.results.append(Result(name, "distinct_count", "INFO", "info", rows, 0, f"{df.agg(F.count_distinct(F.col(f'`{name}`'))).first()[0]:,}"))
     if config.get("table"):
         df.createOrReplaceTempView(config["table"])
-    for a in config.get("assertions") or []:
-        bad = int(spark.sql(a["sql"]).first()[0])
+    if whole := [a for a in asserted if a["name"] not in conditions]:
+        found = spark.sql("SELECT " + ", ".join(f"({a['sql'].strip().rstrip(';')})" for a in whole)).first()
+        violations |= {a["name"]: int(found[i]) for i, a in enumerate(whole)}
+    for a in asserted:
+        bad = violations[a["name"]]
         report.results.append(Result("_assertion_", a["name"], "PASS" if bad == 0 else "FAIL", a.get("severity", "critical"), rows, bad, "= 0", a.get("title", ""), a.get("title_en", "")))
     report.results.sort(key=lambda r: (r.status != "FAIL", SEVERITIES.index(r.severity), r.field))
     return report

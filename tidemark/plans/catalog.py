@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions import dates, identifiers, text
+from tidemark.functions import dates, identifiers, places, text
 from tidemark.functions.distance import osa_distance
 from tidemark.operators import closed_form, consensus, fold, match, normalise, quality, stage
 from tidemark.plans import reports
+from tidemark.session import work_dir
 from tidemark.sources import revisions
+from tidemark.streaming.fold_stream import Folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -108,6 +110,38 @@ def _halves(spark: SparkSession, sf_dir: str) -> list[tuple[date, DataFrame]]:
     return [(date(2024, 1, 1), first), (date(2024, 1, 2), second), (date(2024, 1, 4), third)]
 
 
+_GATED = fold.Limits(least_rows=1, missing_per_day=0.5, missing_most=0.5)
+
+
+def _folded(spark: SparkSession, sf_dir: str, limits: fold.Limits, sources: str) -> tuple[Folder, list]:
+    """The three snapshots folded into a new state below the shared folder, with their outcomes."""
+    folder = Folder(spark, work_dir(spark, "state"), limits)
+    return folder, [folder.fold(raw, source, day) for source, (day, raw) in zip(sources, _halves(spark, sf_dir))]
+
+
+_LOWER = "(o_orderkey % 4 = 0 AND lower(o_orderpriority) <> o_orderpriority)"
+
+
+@query(f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS record_key, 'appeared' AS event, DATE '2024-01-01' AS snapshot_date FROM orders
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderkey % 9 = 0 THEN 'disappeared' ELSE 'changed' END, DATE '2024-01-02' FROM orders WHERE o_orderkey % 9 = 0 OR {_LOWER}
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), CASE WHEN o_orderkey % 10 = 1 THEN 'disappeared' WHEN {_LOWER} THEN 'changed' ELSE 'returned' END, DATE '2024-01-04'
+  FROM orders WHERE (o_orderkey % 10 = 1) <> (o_orderkey % 9 = 0)""")
+def history_gated(spark, sf_dir):
+    """Every transition of three snapshots that passed the gates."""
+    return _folded(spark, sf_dir, _GATED, "aaa")[0].history().select("record_key", "event", "snapshot_date")
+
+
+@query(f"""
+SELECT DATE '2024-01-01' AS snapshot_date, count(*) AS appeared, 0 AS changed, 0 AS missing, 0 AS disappeared, false AS is_suspect FROM orders
+UNION ALL SELECT DATE '2024-01-02', 0, count(*) FILTER (WHERE o_orderkey % 9 <> 0 AND {_LOWER}), count(*) FILTER (WHERE o_orderkey % 9 = 0), 0, true FROM orders
+UNION ALL SELECT DATE '2024-01-04', 0, count(*) FILTER (WHERE o_orderkey % 9 = 0 AND o_orderkey % 10 <> 1 AND {_LOWER}), count(*) FILTER (WHERE o_orderkey % 10 = 1), 0, true FROM orders""")
+def fold_gates(spark, sf_dir):
+    """A drop beyond the allowance and a change of publisher make snapshots suspect: they close nothing."""
+    folder, _ = _folded(spark, sf_dir, fold.Limits(least_rows=1, missing_per_day=0.02, missing_most=0.05), "aab")
+    return folder.ledger().select("snapshot_date", "appeared", "changed", "missing", "disappeared", "is_suspect")
+
+
 @query("""
 SELECT CAST(o_orderkey AS VARCHAR) AS record_key,
   CASE WHEN (o_orderkey % 9 <> 0 OR o_orderkey % 10 <> 1) AND o_orderkey % 4 = 0 THEN lower(o_orderpriority) ELSE o_orderpriority END AS nz,
@@ -121,16 +155,8 @@ SELECT CAST(o_orderkey AS VARCHAR) AS record_key,
 FROM orders
 """)
 def state_fold_gated(spark, sf_dir):
-    """Three snapshots folded one after another through the gates, each by one full outer join."""
-    state, previous = fold.empty_state(spark), None
-    limits = fold.Limits(least_rows=1, missing_per_day=0.5, missing_most=0.5)
-    for day, raw in _halves(spark, sf_dir):
-        staged = stage.stage(raw)
-        pairs = fold.matched(state, staged.snapshot)
-        verdict = fold.judge(pairs, staged.stats["rows_raw"], day, "a", previous, limits)
-        state = fold.next_state(pairs, day, "a", previous, verdict.suspect)
-        previous = fold.Previous(day, "a")
-    return state.select("record_key", "nz", "first_seen", "last_seen", "disappeared_at", "returned_at", "is_present", "revision_no", "disappeared_count")
+    """Three snapshots folded one after another through the gates, each by one full outer join; every state is committed before the next fold."""
+    return _folded(spark, sf_dir, _GATED, "aaa")[0].state().select("record_key", "nz", "first_seen", "last_seen", "disappeared_at", "returned_at", "is_present", "revision_no", "disappeared_count")
 
 
 @query("SELECT event_id, user_id, event_type, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
@@ -231,7 +257,7 @@ def _register(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_returnflag") != "R").alias("is_present"),
         F.when(F.col("l_returnflag") == "R", F.col("l_shipdate").cast("date")).alias("disappeared_at"),
     )
-    return rows.withColumns(identifiers.parts(F.col("imei_raw")))
+    return identifiers.with_parts(rows, "imei_raw")
 
 
 @query(f"WITH {_RECORDS} SELECT record_key, CAST(imei_digits AS INTEGER) AS imei_digits, imei_norm, imei_was_repaired, imei_kind, tac, snr, check_digit, imei_luhn_valid FROM norm")
@@ -240,6 +266,12 @@ def imei_normalise(spark, sf_dir):
     return _register(spark, sf_dir).select("record_key", "imei_digits", "imei_norm", "imei_was_repaired", "imei_kind", "tac", "snr", "check_digit", "imei_luhn_valid")
 
 
+@query(f"WITH {_RECORDS} SELECT record_key, CASE WHEN length(replace(d, substr(d, 1, 1), '')) > 0 THEN imei_norm END AS imei FROM nrm")
+def imei_canonical(spark, sf_dir):
+    """Identifiers in their canonical form; those of one repeated digit are refused."""
+    return _register(spark, sf_dir).select("record_key", identifiers.canonical(F.col("imei_raw")).alias("imei"))
+
+
 @query(f"WITH {_RECORDS} SELECT imei_kind, imei_luhn_valid, imei_was_repaired, count(*) AS records FROM norm GROUP BY ALL")
 def luhn_validity(spark, sf_dir):
     """Checksums by kind."""
@@ -309,7 +341,7 @@ def quality_metrics(spark, sf_dir):
     return reports.quality_metrics(_register(spark, sf_dir).withColumns(flags))
 
 
-_FLAGS = ", nz_raw AS nz_clean, CASE WHEN brand IS NULL THEN 'none' ELSE 'exact' END AS nz_method, nz_raw LIKE 'r%' AS homoglyph_fixed, false AS brand_conflict, insert_date < TIMESTAMP '1998-01-01' AS insert_date_implausible, strftime(insert_date, '%Y-%m-%d') AS insert_date_raw, CASE WHEN ovd LIKE '%1' THEN NULL ELSE ovd END AS region"
+_FLAGS = ", nz_raw AS nz_clean, CASE WHEN brand IS NULL THEN 'none' ELSE 'exact' END AS nz_method, nz_raw LIKE 'r%' AS homoglyph_fixed, coalesce(brand IS NOT NULL AND model IS NULL AND ovd LIKE '%7', false) AS brand_conflict, insert_date < TIMESTAMP '1998-01-01' AS insert_date_implausible, strftime(insert_date, '%Y-%m-%d') AS insert_date_raw, CASE WHEN ovd LIKE '%1' THEN NULL ELSE ovd END AS region"
 
 
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,7 +350,7 @@ def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
             "nz_clean": F.col("nz_raw"),
             "nz_method": F.when(F.col("brand").isNull(), "none").otherwise("exact"),
             "homoglyph_fixed": F.startswith("nz_raw", F.lit("r")),
-            "brand_conflict": F.lit(False),
+            "brand_conflict": F.col("brand").isNotNull() & F.col("model").isNull() & F.endswith("ovd", F.lit("7")),
             "insert_date_implausible": F.col("insert_date") < F.lit("1998-01-01").cast("timestamp_ntz"),
             "insert_date_raw": F.date_format("insert_date", "yyyy-MM-dd"),
             "region": F.when(~F.endswith("ovd", F.lit("1")), F.col("ovd")),
@@ -329,6 +361,7 @@ def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_RECORDS}, f AS (SELECT *{_FLAGS} FROM norm)
 SELECT record_key, 'nz' AS field, nz_raw AS raw_value, 'brand_unresolved' AS issue FROM f WHERE brand IS NULL AND nz_method <> 'empty'
 UNION ALL SELECT record_key, 'nz', nz_raw, 'script_mixed' FROM f WHERE homoglyph_fixed AND brand IS NULL
+UNION ALL SELECT record_key, 'brand', nz_raw, 'conflicts_with_tac' FROM f WHERE brand_conflict
 UNION ALL SELECT record_key, 'imei', imei_raw, 'imei_unusable' FROM f WHERE imei_norm IS NULL
 UNION ALL SELECT record_key, 'imei', imei_raw, 'imei_checksum_failed' FROM f WHERE imei_norm IS NOT NULL AND NOT imei_luhn_valid
 UNION ALL SELECT record_key, 'insert_date', insert_date_raw, 'date_implausible' FROM f WHERE insert_date_implausible
@@ -558,10 +591,32 @@ WITH m(stem, i) AS (VALUES ('blog.', 1), ('m.', 2), ('example.com', 3), ('exampl
 SELECT page_id, (SELECT arg_max(stem, length(stem) * 100 - i) FROM m WHERE contains(url, stem)) AS stem FROM pages""")
 def contains_longest_stem(spark, sf_dir):
     """The longest of some stems that a text contains, as one conditional expression."""
-    out = None
-    for stem in sorted(["blog.", "m.", "example.com", "example.net", "/en/", "/fr/"], key=lambda s: -len(s)):
-        out = F.when(F.col("url").contains(stem), stem) if out is None else out.when(F.col("url").contains(stem), stem)
-    return table(spark, sf_dir, "pages").select("page_id", out.alias("stem"))
+    stems = {s: s for s in ("blog.", "m.", "example.com", "example.net", "/en/", "/fr/")}
+    return table(spark, sf_dir, "pages").select("page_id", places.longest_contained(F.col("url"), stems).alias("stem"))
+
+
+_UNITS = "CASE s_suppkey % 27 WHEN 24 THEN 'м. Київ' WHEN 25 THEN NULL WHEN 26 THEN 'м. Севастополь' ELSE list_extract([" + ", ".join(f"'{r} область'" for r in places.REGIONS) + "], CAST(s_suppkey % 27 AS INTEGER) + 1) END"
+
+
+@query(f"SELECT s_suppkey, {_UNITS} AS region FROM supplier")
+def unit_regions(spark, sf_dir):
+    """The regions that free-text names of units stand for: special marks, then the longest stem."""
+    k = (F.col("s_suppkey") % 27).cast("int")
+    stems = F.array(*[F.lit(stem.lower() + "ької області") for stem, _ in places.stems()])
+    name = F.when(k == 24, "ГУ у м. КИЄВІ").when(k == 25, "Departament").when(k == 26, "відділ у м. Севастополі").otherwise(F.concat(F.lit("ГУ у "), F.get(stems, k)))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", places.region_by_marks_and_stems(name).alias("region"))
+
+
+@query("SELECT range AS i, range * range AS square FROM range(1000)")
+def generated_range(spark, sf_dir):
+    """A generated range of numbers."""
+    return spark.range(1000).select(F.col("id").alias("i"), (F.col("id") * F.col("id")).alias("square"))
+
+
+@query("SELECT o_orderpriority, count(*) AS orders FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 1000.0 GROUP BY 1")
+def bound_parameters(spark, sf_dir):
+    """A statement with bound parameters."""
+    return spark.sql("SELECT o_orderpriority, count(*) AS orders FROM {o} WHERE o_orderstatus = :status AND o_totalprice > :least GROUP BY 1", args={"status": "O", "least": 1000.0}, o=table(spark, sf_dir, "orders"))
 
 
 # --- text ----------------------------------------------------------------------------------------
@@ -591,7 +646,7 @@ def script_profile(spark, sf_dir):
 @query(r"""SELECT conv_id, turn, md5(upper(trim(regexp_replace(regexp_replace(replace(coalesce(text, ''), 'ß', 'SS'), '["''«»`()\[\]{}]', ' ', 'g'), '[\s/,;+\-_.]+', ' ', 'g')))) AS clean_md5 FROM conversations""")
 def clean_text(spark, sf_dir):
     """Noise and separators removed, upper case."""
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.md5(text.clean(F.col("text"), fold_width=False).cast("binary")).alias("clean_md5"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.md5(text.clean(F.col("text")).cast("binary")).alias("clean_md5"))
 
 
 _DATE = "CASE o_orderkey % 6 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN '' WHEN 2 THEN 'soon' WHEN 3 THEN '02' || substr(strftime(o_orderdate, '%Y-%m-%d'), 3, 2) || substr(strftime(o_orderdate, '%Y-%m-%d'), 5) WHEN 4 THEN NULL ELSE '2' || strftime(o_orderdate, '%d') || '7-01-05T10:00:00' END"
@@ -738,17 +793,18 @@ def ledger_upsert(spark, sf_dir):
 
 
 @query("""
-SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN replace(replace(upper(p_name), 'O', 'О'), 'A', 'А') ELSE upper(p_name) END AS t, true AS same FROM part""")
+WITH p AS (SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN replace(replace(upper(p_name), 'O', 'О'), 'A', 'А') ELSE upper(p_name) END AS t FROM part)
+SELECT p_partkey, t AS words, translate(replace(t, ' ', ''), 'ОА', 'OA') || '5' AS code FROM p""")
 def model_code_letters(spark, sf_dir):
     """Words without digits stay as they are; only codes are put into Latin letters."""
     t = F.when(F.col("p_size") % 2 == 0, F.translate(F.upper("p_name"), "OA", "ОА")).otherwise(F.upper("p_name"))
     rows = table(spark, sf_dir, "part").select("p_partkey", t.alias("t"))
     code = F.concat(F.replace("t", F.lit(" "), F.lit("")), F.lit("5"))
-    back = text.normalize_model(code)
-    return rows.select("p_partkey", "t", (text.normalize_model(F.col("t")).eqNullSafe(F.col("t")) & back.eqNullSafe(F.translate(code, "ОА", "OA"))).alias("same"))
+    return rows.select("p_partkey", text.normalize_model(F.col("t")).alias("words"), text.normalize_model(code).alias("code"))
 
 
-@query()
+@query("""WITH b AS (SELECT DISTINCT p_brand FROM part), s AS (SELECT p_brand, substr(p_brand, 1, 2) || substr(p_brand, 4, 1) || substr(p_brand, 3, 1) || substr(p_brand, 5, 20) AS swapped FROM b)
+SELECT p_brand, swapped, CAST(CASE WHEN p_brand = swapped THEN 0 ELSE damerau_levenshtein(p_brand, swapped) END AS INTEGER) AS distance FROM s""")
 def osa_distances(spark, sf_dir):
     """Distances of all distinct brand names to their neighbours in order."""
     b = table(spark, sf_dir, "part").select("p_brand").distinct()
@@ -756,7 +812,7 @@ def osa_distances(spark, sf_dir):
     return pairs.select("p_brand", "swapped", osa_distance(F.col("p_brand"), F.col("swapped")).alias("distance"))
 
 
-@query()
+@query("SELECT * FROM (VALUES ('balance', 'extra'), ('dk', 'missing'), ('dtl', 'missing'), ('imei', 'missing'), ('insert_date', 'missing'), ('nk', 'missing'), ('ovd', 'missing')) AS t(name, kind)")
 def schema_drift(spark, sf_dir):
     """Columns that a snapshot has too many or too few."""
     from tidemark.sources.json_snapshot import drift

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -22,3 +25,17 @@ def session(app: str = "tidemark", master: str | None = None, shuffle_partitions
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     return builder.config(map=settings | {k.replace("__", "."): v for k, v in conf.items()}).getOrCreate()
+
+
+_OWN: dict[str, str] = {}
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder name that driver and executors share, below ``spark.checkpoint.dir``; only a local master may do without the setting."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _OWN.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="tidemark-")
+        _OWN[spark.sparkContext.applicationId] = base
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -32,7 +32,9 @@ class Folder:
     Every fold writes the next version and commits it with a pointer written
     last; a repeated (source, day, checksum) is skipped, so a batch that is
     delivered again after a crash does no harm.  A day before the last folded
-    one is an error; the same day again replaces nothing but folds on top.
+    one is an error; the same day again replaces nothing but folds on top, and
+    its events are kept beside those of the first (a fold that is repeated after a
+    crash writes its own again).
     """
 
     def __init__(self, spark: SparkSession, root: str, limits: fold.Limits = fold.Limits()):
@@ -56,14 +58,22 @@ class Folder:
         held = self.versions.read("aggregates")
         return held if held is not None else self.spark.createDataFrame([], "snapshot_date date, source string, dimension string, key string, records bigint")
 
-    def fold(self, raw: DataFrame, source: str, day: date, sha256: str | None = None, read_mode: str = "json", repairs: int = 0) -> Outcome:
+    def known_by_hash(self, api_hash: str | None) -> tuple[str, date] | None:
+        """(source, day) of the folded snapshot that the publisher gave the same checksum, the earliest one: there is no need to download it again."""
+        if not api_hash:
+            return None
+        seen = self.ledger().where((F.coalesce("status", F.lit("folded")) == "folded") & (F.col("api_hash") == F.lit(api_hash))).orderBy("snapshot_date", "source").first()
+        return (seen["source"], seen["snapshot_date"]) if seen else None
+
+    def fold(self, raw: DataFrame, source: str, day: date, sha256: str | None = None, read_mode: str = "json", repairs: int = 0, api_hash: str | None = None) -> Outcome:
         """Stages, judges and folds one snapshot."""
         ledger = self.ledger()
-        same = ledger.where((F.col("status") == "folded") & (F.col("sha256") == F.lit(sha256)))
+        own = (F.col("source") == source) & (F.col("snapshot_date") == F.lit(day))
+        same = ledger.where((F.col("status") == "folded") & (F.col("sha256") == F.lit(sha256))).orderBy(own.desc(), "snapshot_date", "source")
         if sha256 and (seen := same.first()):
             if (seen["source"], seen["snapshot_date"]) == (source, day):
                 return Outcome(source, day, "skipped", "already folded")
-            self._note(source, day, status="duplicate", reason=f"same bytes as {seen['snapshot_date']}", sha256=sha256)
+            self._note(source, day, status="duplicate", reason=f"same bytes as {seen['snapshot_date']}", sha256=sha256, api_hash=api_hash)
             return Outcome(source, day, "duplicate")
         last = ledger.where("status = 'folded'").orderBy(F.desc("snapshot_date")).first()
         previous = fold.Previous(last["snapshot_date"], last["source"]) if last else None
@@ -71,19 +81,19 @@ class Folder:
         pairs = fold.matched(self.state(), staged.snapshot).persist()
         try:
             verdict = fold.judge(pairs, staged.stats["rows_raw"], day, source, previous, self.limits)
-            self._write(pairs, staged, verdict, source, day, previous, sha256, read_mode, repairs)
+            self._write(pairs, staged, verdict, source, day, previous, sha256, read_mode, repairs, api_hash)
         finally:
             pairs.unpersist()
         return Outcome(source, day, "folded", verdict.reason, verdict)
 
-    def _write(self, pairs: DataFrame, staged: Staged, verdict: fold.Verdict, source: str, day: date, previous, sha256, read_mode, repairs) -> None:
+    def _write(self, pairs: DataFrame, staged: Staged, verdict: fold.Verdict, source: str, day: date, previous, sha256, read_mode, repairs, api_hash) -> None:
         from tidemark.operators.stage import insert_if_absent
 
         events = fold.history(pairs, day, source, verdict.suspect).drop("snapshot_date", "source")
-        events.write.mode("overwrite").parquet(f"{self.history_path}/snapshot_date={day}/source={source}")
+        events.write.mode("overwrite").parquet(f"{self.history_path}/snapshot_date={day}/source={source}/fold={self.versions.current() + 1}")
         state = fold.next_state(pairs, day, source, previous, verdict.suspect)
         row = fold.ledger_row(
-            self.spark, source, day, status="folded", sha256=sha256, read_mode=read_mode, rows_repaired=repairs, rows_raw=staged.stats["rows_raw"],
+            self.spark, source, day, status="folded", api_hash=api_hash, sha256=sha256, read_mode=read_mode, rows_repaired=repairs, rows_raw=staged.stats["rows_raw"],
             rows_dupe_id=staged.stats["rows_dupe_id"], record_count=staged.stats["record_count"], appeared=verdict.appeared, changed=verdict.changed,
             missing=verdict.missing, disappeared=verdict.disappeared, is_suspect=verdict.suspect, suspect_reason=verdict.reason or None,
         )
@@ -107,8 +117,11 @@ class Folder:
         self._note(source, day, status=status, reason=reason)
 
     def history(self) -> DataFrame:
-        """All events so far."""
-        return self.spark.read.option("basePath", self.history_path).parquet(self.history_path)
+        """All events so far; ``fold`` is the version of the state that they led to, and orders the folds of one day.
+
+        Events of a fold that never came to be committed are left out.
+        """
+        return self.spark.read.option("basePath", self.history_path).parquet(self.history_path).where(F.col("fold") <= self.versions.current())
 
 
 def fold_stream(spark: SparkSession, path: str, root: str, checkpoint: str, schema: T.StructType, limits: fold.Limits = fold.Limits(), source: str = "source", day: str = "snapshot_date"):
