@@ -55,7 +55,7 @@ SIZE = TREES * DEPTH
 HEAD = 9  # bytes of an order before the signature
 CHUNK = 2 << 20
 #: A block of step 5: shingles of its query set, and rows that they meet.
-QUERY_SHINGLES, MEMBERS = 1 << 20, 4096
+QUERY_SHINGLES, MEMBERS = 1 << 20, 512
 #: Ids up to this many are sent to the scan of the texts; more are joined by shuffle.
 ID_LIMIT = 1_000_000
 _MULTIPLY = tk.stream(0xF0E57, SIZE) | np.uint64(1)
