@@ -52,13 +52,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _one_vertex_a_text(docs: DataFrame) -> DataFrame:
     """``docs`` without rows that repeat id and text, and with ``v``: the id, or a hash of id and text (2 ** 62 or more) for ids with several texts."""
-    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min(_one_text()).alias("x"), F.max(_one_text()).alias("y"))
-    twice = staged(ids.where("n > 1").select("doc_id", (F.col("x") != F.col("y")).alias("several")), "repeated_ids")
-    if not twice.limit(1).count():
+    twice = staged(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated_ids")
+    if twice.isEmpty():
         return docs.withColumn("v", F.col("doc_id"))
-    once = docs.join(twice, "doc_id", "left_anti").withColumn("v", F.col("doc_id"))
-    more = docs.join(twice, "doc_id").withColumn("h", _one_text()).dropDuplicates(["doc_id", "h"])
-    return once.unionByName(more.withColumn("v", F.when(F.col("several"), F.col("h").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)).otherwise(F.col("doc_id"))).drop("several", "h"))
+    own = F.col("h").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    more = staged(docs.join(twice, "doc_id", "left_semi").withColumn("h", _one_text()).dropDuplicates(["doc_id", "h"]), "repeated")
+    several = more.groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("several"))
+    more = more.join(several, "doc_id").withColumn("v", F.when(F.col("several"), own).otherwise(F.col("doc_id"))).drop("several", "h")
+    return staged(docs.join(twice, "doc_id", "left_anti").withColumn("v", F.col("doc_id")).unionByName(more), "vertices")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +69,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     lines of more than 50 words stay only where they occur first, on however few sources they are; documents left without
     text go.  Before the copies are gone, this would leave their changed lines behind.
     """
-    docs = staged(_one_vertex_a_text(docs.select(*COLUMNS)), "vertices")
+    docs = _one_vertex_a_text(docs.select(*COLUMNS))
     gone = lsh_forest.near_duplicates(docs, key="v", words=5, percent=80).where("not kept").select(F.col("doc_id").alias("v"))
     rest = staged(docs.join(staged(gone, "copies"), "v", "left_anti").select(*COLUMNS), "rest")
     clean = line_spread.remove_repeated(rest).where("n_removed = 0 or text rlike '[^ \\t\\r\\n]'")
