@@ -15,6 +15,7 @@ from tidemark.operators import closed_form, consensus, fold, match, normalise, q
 from tidemark.plans import reports
 from tidemark.session import work_dir
 from tidemark.sources import revisions
+from tidemark.sources.sinks import Versions
 from tidemark.streaming.fold_stream import Folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,7 +157,14 @@ FROM orders
 """)
 def state_fold_gated(spark, sf_dir):
     """Three snapshots folded one after another through the gates, each by one full outer join; every state is committed before the next fold."""
-    return _folded(spark, sf_dir, _GATED, "aaa")[0].state().select("record_key", "nz", "first_seen", "last_seen", "disappeared_at", "returned_at", "is_present", "revision_no", "disappeared_count")
+    versions, state, previous = Versions(spark, work_dir(spark, "state")), fold.empty_state(spark), None
+    for day, raw in _halves(spark, sf_dir):
+        staged = stage.stage(raw)
+        pairs = fold.matched(state, staged.snapshot)
+        verdict = fold.judge(pairs, staged.stats["rows_raw"], day, "a", previous, _GATED)
+        versions.commit({"state": fold.next_state(pairs, day, "a", previous, verdict.suspect)})
+        state, previous = versions.read("state"), fold.Previous(day, "a")
+    return state.select("record_key", "nz", "first_seen", "last_seen", "disappeared_at", "returned_at", "is_present", "revision_no", "disappeared_count")
 
 
 @query("SELECT event_id, user_id, event_type, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
