@@ -12,6 +12,35 @@ from pyspark.sql import functions as F
 
 SEVERITIES = ("critical", "warning", "info")
 
+#: How checks are called in reports, by the name they are declared under.
+LABELS = {
+    "en": {
+        "row_count": "number of rows",
+        "not_null": "always given",
+        "allowed_values": "one of the allowed values",
+        "length": "length",
+        "regex": "pattern",
+        "range": "within its range",
+        "fill_rate": "share of rows with a value",
+        "true_share": "share of true, at least",
+        "true_share_max": "share of true, at most",
+        "distinct_count": "number of distinct values",
+    },
+    "uk": {
+        "row_count": "кількість рядків",
+        "not_null": "завжди вказано",
+        "allowed_values": "одне з дозволених значень",
+        "length": "довжина",
+        "regex": "шаблон",
+        "range": "у межах",
+        "fill_rate": "частка заповнених рядків",
+        "true_share": "частка істинних, щонайменше",
+        "true_share_max": "частка істинних, щонайбільше",
+        "distinct_count": "кількість різних значень",
+    },
+}
+STYLE = "body{font:16px sans-serif;margin:2em}table{border-collapse:collapse}td,th{border:1px solid #ccc;padding:4px 8px;text-align:left}dl{display:flex;gap:2em}dd{margin:0;font-size:1.5em}.pass{color:#166534}.warn{color:#854d0e}.fail{color:#991b1b}"
+
 
 @dataclass(frozen=True)
 class Result:
@@ -44,14 +73,43 @@ class Report:
     def to_df(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(r.field, r.check, r.status, r.severity, r.rows, r.bad, r.detail) for r in self.results], "field string, check string, status string, severity string, rows bigint, bad bigint, detail string")
 
+    @property
+    def failures(self) -> list[Result]:
+        return [r for r in self.results if r.status == "FAIL"]
+
+    def _heads(self, lang: str) -> tuple[str, ...]:
+        return {"en": ("Data quality", "Field", "Check", "Status", "Severity", "Bad rows", "Detail", "Failed checks", "All checks", "Rows"), "uk": ("Якість даних", "Поле", "Перевірка", "Статус", "Важливість", "Порушень", "Деталі", "Невдалі перевірки", "Усі перевірки", "Рядків")}[lang]
+
+    def _line(self, r: Result, lang: str) -> tuple[str, ...]:
+        return r.field, (r.title_en if lang == "en" else r.title) or LABELS[lang].get(r.check, r.check), r.status, r.severity, f"{r.bad:,}", r.detail
+
     def markdown(self, lang: str = "en") -> str:
-        """The report as a table in English or Ukrainian."""
-        heads = {"en": ("Data quality", "Field", "Check", "Status", "Severity", "Bad rows", "Detail"), "uk": ("Якість даних", "Поле", "Перевірка", "Статус", "Важливість", "Порушень", "Деталі")}[lang]
-        lines = [f"# {heads[0]}: {self.dataset}", "", f"{self.generated_at} · {self.rows:,} · **{self.status}**", "", "| " + " | ".join(heads[1:]) + " |", "|" + "---|" * 6]
-        for r in self.results:
-            name = (r.title_en if lang == "en" else r.title) or r.check
-            lines.append(f"| {r.field} | {name} | {r.status} | {r.severity} | {r.bad:,} | {r.detail} |".replace("\n", " "))
-        return "\n".join(lines) + "\n"
+        """The report in English or Ukrainian: first the checks that failed, then all of them."""
+        heads = self._heads(lang)
+        top = ["| " + " | ".join(heads[1:7]) + " |", "|" + "---|" * 6]
+        table = lambda rows: top + [("| " + " | ".join(x.replace("|", "\\|") for x in self._line(r, lang)) + " |").replace("\n", " ") for r in rows]
+        lines = [f"# {heads[0]}: {self.dataset}", "", f"{self.generated_at} · {self.rows:,} · **{self.status}**", ""]
+        if self.failures:
+            lines += [f"## {heads[7]}", "", *table(self.failures), "", f"## {heads[8]}", ""]
+        return "\n".join(lines + table(self.results)) + "\n"
+
+    def html(self, lang: str = "en", tiles: dict[str, int] | None = None) -> str:
+        """The report as one page: status, tiles of headline numbers, the checks that failed, then all of them."""
+        import html
+
+        heads = self._heads(lang)
+        cells = lambda tag, values: "".join(f"<{tag}>{html.escape(str(v))}</{tag}>" for v in values)
+        table = lambda rows: "<table><thead><tr>" + cells("th", heads[1:7]) + "</tr></thead><tbody>" + "".join(f'<tr class="{r.status.lower()}">{cells("td", self._line(r, lang))}</tr>' for r in rows) + "</tbody></table>"
+        title = html.escape(f"{heads[0]}: {self.dataset}")
+        numbers = {heads[9]: self.rows} | (tiles or {})
+        parts = [
+            f'<!doctype html><html lang="{lang}"><head><meta charset="utf-8"><title>{title}</title><style>{STYLE}</style></head><body><h1>{title}</h1>',
+            f'<p class="{self.status.lower()}">{self.status} · {html.escape(self.generated_at)}</p>',
+            "<dl>" + "".join(f"<div><dt>{html.escape(k)}</dt><dd>{v:,}</dd></div>" for k, v in numbers.items()) + "</dl>",
+        ]
+        if self.failures:
+            parts.append(f"<h2>{heads[7]}</h2>{table(self.failures)}")
+        return "\n".join([*parts, f"<h2>{heads[8]}</h2>{table(self.results)}", "</body></html>"]) + "\n"
 
 
 def percent(x: float) -> str:

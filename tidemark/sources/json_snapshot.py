@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pandas as pd
@@ -104,6 +105,30 @@ def read_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, str, int]:
     reads it, so any store will do and the driver never holds it.  The number
     of rows always equals the number of objects.
     """
+    lines, faults = _scanned(spark, path)
+    return _rows(spark, lines), _mode(faults), faults
+
+
+@contextmanager
+def snapshot(spark: SparkSession, path: str) -> Iterator[tuple[DataFrame, str, int]]:
+    """``read_snapshot`` that lets go of the scanned objects at the end, for those who read many files."""
+    lines, faults = _scanned(spark, path)
+    try:
+        yield _rows(spark, lines), _mode(faults), faults
+    finally:
+        lines.unpersist()
+
+
+def _rows(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    return read_objects(spark, lines.where("value is not null").select("value"))
+
+
+def _mode(faults: int) -> str:
+    return "repaired" if faults else "json"
+
+
+def _scanned(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
+    """The objects of one file, kept on disk, and how many faults were repaired."""
     files = spark.read.format("binaryFile").load(path).select("content")
 
     def expand(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -122,10 +147,12 @@ def read_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, str, int]:
         seen = lines.agg(F.count_if(F.col("value").isNull()).alias("files"), F.sum("faults").alias("faults")).first()
     except PythonException as e:
         found = re.search(r"(?:BrokenSnapshot|JSONDecodeError|UnicodeDecodeError): (.*)", str(e))
+        lines.unpersist()
         raise BrokenSnapshot(found.group(1) if found else "unreadable") from e
     if seen["files"] != 1:
+        lines.unpersist()
         raise BrokenSnapshot(f"{seen['files']} files at {path}")
-    return read_objects(spark, lines.where("value is not null").select("value")), "repaired" if seen["faults"] else "json", seen["faults"]
+    return lines, seen["faults"]
 
 
 def resolve_columns(df: DataFrame) -> dict[str, str]:

@@ -65,7 +65,7 @@ class Folder:
         seen = self.ledger().where((F.coalesce("status", F.lit("folded")) == "folded") & (F.col("api_hash") == F.lit(api_hash))).orderBy("snapshot_date", "source").first()
         return (seen["source"], seen["snapshot_date"]) if seen else None
 
-    def fold(self, raw: DataFrame, source: str, day: date, sha256: str | None = None, read_mode: str = "json", repairs: int = 0, api_hash: str | None = None) -> Outcome:
+    def fold(self, raw: DataFrame, source: str, day: date, sha256: str | None = None, read_mode: str = "json", repairs: int = 0, api_hash: str | None = None, size: int | None = None) -> Outcome:
         """Stages, judges and folds one snapshot."""
         ledger = self.ledger()
         own = (F.col("source") == source) & (F.col("snapshot_date") == F.lit(day))
@@ -73,7 +73,7 @@ class Folder:
         if sha256 and (seen := same.first()):
             if (seen["source"], seen["snapshot_date"]) == (source, day):
                 return Outcome(source, day, "skipped", "already folded")
-            self._note(source, day, status="duplicate", reason=f"same bytes as {seen['snapshot_date']}", sha256=sha256, api_hash=api_hash)
+            self._note(source, day, status="duplicate", reason=f"same bytes as {seen['snapshot_date']}", sha256=sha256, api_hash=api_hash, bytes=size)
             return Outcome(source, day, "duplicate")
         last = ledger.where("status = 'folded'").orderBy(F.desc("snapshot_date")).first()
         previous = fold.Previous(last["snapshot_date"], last["source"]) if last else None
@@ -81,19 +81,19 @@ class Folder:
         pairs = fold.matched(self.state(), staged.snapshot).persist()
         try:
             verdict = fold.judge(pairs, staged.stats["rows_raw"], day, source, previous, self.limits)
-            self._write(pairs, staged, verdict, source, day, previous, sha256, read_mode, repairs, api_hash)
+            self._write(pairs, staged, verdict, source, day, previous, sha256, read_mode, repairs, api_hash, size)
         finally:
             pairs.unpersist()
         return Outcome(source, day, "folded", verdict.reason, verdict)
 
-    def _write(self, pairs: DataFrame, staged: Staged, verdict: fold.Verdict, source: str, day: date, previous, sha256, read_mode, repairs, api_hash) -> None:
+    def _write(self, pairs: DataFrame, staged: Staged, verdict: fold.Verdict, source: str, day: date, previous, sha256, read_mode, repairs, api_hash, size) -> None:
         from tidemark.operators.stage import insert_if_absent
 
         events = fold.history(pairs, day, source, verdict.suspect).drop("snapshot_date", "source")
         events.write.mode("overwrite").parquet(f"{self.history_path}/snapshot_date={day}/source={source}/fold={self.versions.current() + 1}")
         state = fold.next_state(pairs, day, source, previous, verdict.suspect)
         row = fold.ledger_row(
-            self.spark, source, day, status="folded", api_hash=api_hash, sha256=sha256, read_mode=read_mode, rows_repaired=repairs, rows_raw=staged.stats["rows_raw"],
+            self.spark, source, day, status="folded", api_hash=api_hash, sha256=sha256, bytes=size, read_mode=read_mode, rows_repaired=repairs, rows_raw=staged.stats["rows_raw"],
             rows_dupe_id=staged.stats["rows_dupe_id"], record_count=staged.stats["record_count"], appeared=verdict.appeared, changed=verdict.changed,
             missing=verdict.missing, disappeared=verdict.disappeared, is_suspect=verdict.suspect, suspect_reason=verdict.reason or None,
         )
@@ -112,9 +112,9 @@ class Folder:
         row = fold.ledger_row(self.spark, source, day, **values)
         self.versions.commit({"state": self.state(), "quarantine_personal": self.quarantined(), "aggregates": self._aggregates(), "ledger": fold.upsert_ledger(self.ledger(), row, only=["status", "reason"])})
 
-    def skip(self, source: str, day: date, status: str, reason: str) -> None:
+    def skip(self, source: str, day: date, status: str, reason: str, size: int | None = None, api_hash: str | None = None) -> None:
         """Records that a revision was not folded, and why."""
-        self._note(source, day, status=status, reason=reason)
+        self._note(source, day, status=status, reason=reason, bytes=size, api_hash=api_hash)
 
     def history(self) -> DataFrame:
         """All events so far; ``fold`` is the version of the state that they led to, and orders the folds of one day.
