@@ -25,6 +25,13 @@ def test_methods(spark):
     assert got["REDMINOTE"] == ("Redmi", "NOTE", "glued")
 
 
+def test_prefixes_of_rows_are_never_broadcast(spark):
+    rows = spark.range(3).selectExpr("id", "array('NOKIA3310', 'REDMI', 'MIX')[id] as head")
+    got = match.longest_string_prefix(rows, "id", "head", spark.createDataFrame([("NOKIA",), ("NOKIA3",), ("MI",), ("REDMI",), ("MI",)], "entry string"), "entry")
+    assert "BuildLeft" not in got._jdf.queryExecution().sparkPlan().toString(), "only the dictionary may go to the driver"
+    assert [tuple(r) for r in got.collect()] == [(0, "NOKIA3", "310")]
+
+
 def test_nearest(spark):
     entries = spark.createDataFrame([(a,) for a, _, _ in ALIASES], "entry string")
     got = match.nearest(spark.createDataFrame([("NOKAI",), ("BRAVOS",), ("",)], "q string"), "q", entries, "entry", limit=2, least=0.6).orderBy("query", "position").collect()

@@ -32,7 +32,7 @@ def longest_string_prefix(rows: DataFrame, key: str, head: str, entries: DataFra
     prefixes = F.transform(F.sequence(F.lit(1), F.length(head) - 1), lambda n: F.struct(n.alias("n"), F.substr(F.col(head), F.lit(1), n).alias("p"), F.btrim(F.substr(F.col(head), n + 1), F.lit("-_ ")).alias("tail")))
     wide = rows.where(F.length(head) > 1).select(key, F.explode(prefixes).alias("x")).select(key, "x.*")
     wide = wide.where((F.col("tail") != "") & (~F.col("tail").rlike(r"^\p{L}+$") | (F.col("n") >= 5)))
-    hits = wide.join(entries.select(F.col(entry).alias("p")).distinct(), "p")
+    hits = wide.join(entries.select(F.col(entry).alias("p")).distinct(), "p", "left_semi")  # a semi join never broadcasts the prefixes, which planning takes for no larger than the rows
     return hits.groupBy(key).agg(F.max_by("p", "n").alias(entry), F.max_by("tail", "n").alias("tail"))
 
 
