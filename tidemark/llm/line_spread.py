@@ -84,20 +84,20 @@ def _without(docs: DataFrame, places: DataFrame, found: DataFrame, key: str, tex
     drop_staged(places)
     own = [c for c in docs.columns if c not in (text, "n_lines", "n_removed")]
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    split = docs.select(
+    whole = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in own]).alias("own"),
-        F.col(f"`{text}`").isNull().alias("was_null"),
+        F.col(f"`{text}`").cast("string").alias("whole"),
         F.coalesce(F.col(f"`{key}`").cast("bigint"), F.lit(_LEAST)).alias("k"),
         F.xxhash64(t).alias("th"),
-        F.split(t, "\n").alias("lines"),
+        (F.octet_length(t) - F.octet_length(F.replace(t, F.lit("\n"), F.lit(""))) + 1).cast("bigint").alias("n_lines"),
     )
-    joined = split.join(gone, ["k", "th"], "left")
-    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
-    clean = F.when(F.col("was_null"), F.lit(None).cast("string")).otherwise(F.array_join(F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.transform(kept, lambda i: F.get("lines", i))), "\n"))
+    joined = whole.join(gone.hint("shuffle_hash"), ["k", "th"], "left")  # the few removals are held, the texts go by unsorted
+    left = lambda lines: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda i: F.get(lines, i)), "\n")
+    clean = F.when(F.col("gone").isNull(), F.col("whole")).otherwise(F.transform(F.array(F.split("whole", "\n")), left)[0])  # bound by a lambda, a text is split once
     out = joined.select(
         "own",
         clean.alias("clean"),
-        F.size("lines").cast("bigint").alias("n_lines"),
+        "n_lines",
         F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
     )
     return out.select(*[F.col("clean").alias(c) if c == text else F.col("own").getField(c).alias(c) for c in docs.columns if c == text or c in own], "n_lines", "n_removed")
