@@ -559,6 +559,34 @@ def test_extreme_draws_stay_inside_their_node(model_path):
     assert got[0] == got[1]
 
 
+def test_edges_and_draws_need_no_binary_search(model_path, monkeypatch):
+    """New units take a step in the pieces' tree a byte and draws start at their node: searches are a few a row or unit, not a few a byte."""
+    lattice = piece_lattice.Lattice(model_path, 1.0)
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("etaoinshrdlé文") for _ in range(rng.randrange(5, 12))) for _ in range(200)).encode() for _ in range(20)]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    looked_up, search = [0], np.searchsorted
+
+    def counted(a, v, *more, **named):
+        looked_up[0] += np.size(v)
+        return search(a, v, *more, **named)
+
+    monkeypatch.setattr(np, "searchsorted", counted)
+    ids, per_row = lattice.sample(data, offsets, np.arange(len(texts)), 0)
+    monkeypatch.undo()
+    back, ends = lattice.decode(ids, per_row)
+    assert np.array_equal(back, data) and np.array_equal(ends, offsets)
+    assert looked_up[0] < len(data) / 2
+    raw = texts[0][:400]
+    raw = raw[: raw.rindex(b" ")]
+    a, b, piece, _ = lattice.edges(np.frombuffer(raw, np.uint8), np.array([0]), np.array([len(raw)]))
+    starts = [i for i in range(len(raw)) if raw[i] & 0xC0 != 0x80]
+    want = {(i, j, lattice.piece_of[raw[i:j]]) for i in starts for j in range(i + 1, len(raw) + 1) if raw[i:j] in lattice.piece_of}
+    bare = [(i, j) for i, j in zip(starts, [*starts[1:], len(raw)]) if raw[i:j] not in lattice.piece_of]
+    want |= {(x, x + 1, int(lattice.byte_id[raw[x]])) for i, j in bare for x in range(i, j)}
+    assert set(zip(a.tolist(), b.tolist(), piece.tolist())) == want and len(a) == len(want)
+
+
 def test_text_without_spaces_costs_little_more(model_path):
     import time
 

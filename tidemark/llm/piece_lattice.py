@@ -41,6 +41,8 @@ from .common import fresh, release, small_batches, table
 CHUNK = 768 << 10
 LONG, HUGE, PLACES = 64, 4096, 32 << 10
 CACHE_EDGES = 2_000_000
+#: New units summed at once.
+UNITS = 8192
 #: A share of a node in fixed point: 36 bits, behind the number of its node.
 SHARE_BITS = 36
 _ALL = tk.ByteClass(np.ones(256, bool), lower=False)
@@ -77,13 +79,9 @@ class Lattice:
         self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.starts = np.concatenate(([0], np.cumsum([len(b) for b in self.bytes])))
         self.longest = max(map(len, normal))
-        self.by_length, self.prefixes = [], []
-        for n in range(self.longest + 1):
-            whole = [b for b in normal if len(b) == n and n]
-            h = self._hash(whole)
-            order = np.argsort(h)
-            self.by_length.append((h[order], np.array([normal[b] for b in whole], np.int32)[order]))
-            self.prefixes.append(np.unique(self._hash(sorted({b[:n] for b in normal if len(b) > n and n}))))
+        self.edge_weight = self.log_weight.copy()
+        self.edge_weight[self.byte_id] = self.byte_weight
+        self._plant(normal)
         self.tilt = 5.0  # a factor for each byte: all segmentations of a unit have the same, so it only keeps sums in range
         self.clear()
 
@@ -93,21 +91,58 @@ class Lattice:
             cls._one[path, sharpness] = cls(path, sharpness)
         return cls._one[path, sharpness]
 
-    @staticmethod
-    def _hash(parts: list[bytes]) -> np.ndarray:
-        if not parts:
-            return np.zeros(0, np.uint64)
-        ends = np.cumsum([len(p) for p in parts])
-        data = np.frombuffer(b"".join(parts), np.uint8)
-        return tk.word_hashes(data, ends - np.array([len(p) for p in parts]), ends, _ALL)
+    def _plant(self, pieces: dict[bytes, int]) -> None:
+        """The tree of the pieces' bytes: the next node by node and byte (0: none), inner nodes first, and the piece that ends at a node (-1: none)."""
+        number = {b"": 0}
+        for raw in pieces:
+            for n in range(1, len(raw)):
+                number.setdefault(raw[:n], len(number))
+        self.inner = len(number)
+        for raw in pieces:
+            number.setdefault(raw, len(number))
+        used = sorted({raw[-1] for raw in number if raw})
+        self.column = np.zeros(256, np.uint8)  # 0: a byte of no piece
+        self.column[used] = np.arange(1, len(used) + 1)
+        self.columns = len(used) + 1
+        nodes = [raw for raw in number if raw]
+        self.next = np.zeros(self.inner * self.columns, np.int32)
+        spots = np.array([number[raw[:-1]] for raw in nodes], np.int64) * self.columns + self.column[[raw[-1] for raw in nodes]]
+        self.next[spots] = [number[raw] for raw in nodes]
+        self.ends_piece = np.full(len(number), -1, np.int32)
+        self.ends_piece[[number[raw] for raw in pieces]] = list(pieces.values())
 
     def clear(self) -> None:
         self.end_node = tk.HashTable()
-        self.key, self.back, self.piece = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
-        self.nodes = 0
+        self._key, self._back, self._piece = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self._entry = np.zeros(0, np.int32)  # of each node: its first edge
+        self.held = self.nodes = 0
+
+    @property
+    def key(self) -> np.ndarray:
+        return self._key[: self.held]
+
+    @property
+    def back(self) -> np.ndarray:
+        return self._back[: self.held]
+
+    @property
+    def piece(self) -> np.ndarray:
+        return self._piece[: self.held]
+
+    def _hold(self, edges: int, nodes: int) -> None:
+        """Room for so many edges and nodes in all."""
+        if edges > len(self._key):
+            room = max(edges, len(self._key) * 5 // 4)
+            self._key, self._back, self._piece = (np.concatenate((x[: self.held], np.zeros(room - self.held, x.dtype))) for x in (self._key, self._back, self._piece))
+        if nodes > len(self._entry):
+            self._entry = np.concatenate((self._entry, np.zeros(max(nodes, len(self._entry) * 5 // 4) - len(self._entry), np.int32)))
 
     def edges(self, data: np.ndarray, unit_start: np.ndarray, unit_end: np.ndarray, before: int | None = None):
         """(from byte, to byte, piece, log weight) of all edges inside the units, which tile ``data``; of characters that start ``before`` a place, if given."""
+        a, b, piece = self._edges(data, unit_start, unit_end, before)
+        return a, b, piece, self.edge_weight[piece]
+
+    def _edges(self, data: np.ndarray, unit_start: np.ndarray, unit_end: np.ndarray, before: int | None = None):
         limit = np.repeat(unit_end, unit_end - unit_start)
         lead = (data & 0xC0) != 0x80
         at = np.flatnonzero(lead)
@@ -116,49 +151,52 @@ class Lattice:
             at, width = at[at < before], width[at < before]
         alone = np.zeros(len(data), bool)  # characters with a piece of their own
         found = []
-        live = at
-        with np.errstate(over="ignore"):
-            for n in range(1, self.longest + 1):
-                live = live[live + n <= limit[live]]
-                if not len(live):
-                    break
-                h = _hash_spans(data, live, n)
-                keys, ids = self.by_length[n]
-                if len(keys):
-                    spot = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-                    hit = keys[spot] == h
-                    begin, piece = live[hit], ids[spot[hit]]
-                    found.append((begin, begin + n, piece, self.log_weight[piece]))
-                    index = np.searchsorted(at, begin)
-                    alone[begin[width[index] == n]] = True
-                more = self.prefixes[n]
-                if not len(more):
-                    break
-                spot = np.minimum(np.searchsorted(more, h), len(more) - 1)
-                live = live[more[spot] == h]
-        bare = at[~alone[at]]
-        count = width[np.searchsorted(at, bare)]
+        byte = self.column[data]
+        live, node, room, wide = at, np.zeros(len(at), np.int32), limit[at] - at, width
+        for n in range(1, self.longest + 1):
+            more = np.flatnonzero((room >= n) & (node < self.inner))
+            live, room, wide = live[more], room[more], wide[more]
+            node = self.next[node[more].astype(np.int64) * self.columns + byte[live + (n - 1)]]
+            more = np.flatnonzero(node)
+            if not len(more):
+                break
+            live, room, wide, node = live[more], room[more], wide[more], node[more]
+            piece = self.ends_piece[node]
+            hit = np.flatnonzero(piece >= 0)
+            begin, piece = live[hit], piece[hit]
+            found.append((begin, begin + n, piece))
+            alone[begin[wide[hit] == n]] = True
+        own = alone[at]
+        bare, count = at[~own], width[~own]
         spots = np.repeat(bare, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        found.append((spots, spots + 1, self.byte_id[data[spots]], np.full(len(spots), self.byte_weight)))
+        found.append((spots, spots + 1, self.byte_id[data[spots]]))
         return [np.concatenate(x) for x in zip(*found)]
 
     def add(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
         """Forward sums of new units of at most HUGE bytes: in the logarithms if one has more than LONG."""
-        lens = np.array([len(p) for p in pieces], np.int64)
-        data = np.frombuffer(b"".join(pieces), np.uint8)
-        ends = np.cumsum(lens)
+        self._add(hashes, np.frombuffer(b"".join(pieces), np.uint8), np.cumsum([len(p) for p in pieces]))
+
+    def _add(self, hashes: np.ndarray, data: np.ndarray, ends: np.ndarray) -> None:
+        """The same, for units that tile ``data``."""
+        lens = np.diff(ends, prepend=0)
         begins = ends - lens
-        a, b, piece, weight = self.edges(data, begins, ends)
-        unit = np.searchsorted(ends, a, side="right")
-        # a unit of n bytes has the nodes 0..n; node numbers: begin + unit + place
-        a, b = a + unit, b + unit
-        place = b - (begins[unit] + unit)
-        order = np.lexsort((piece, b, place))
-        a, b, piece, unit, place, weight = a[order], b[order], piece[order], unit[order], place[order], weight[order]
-        total = len(data) + len(pieces)
-        roots = begins + np.arange(len(pieces))
+        count = np.arange(len(ends))
+        a, b, piece = self._edges(data, begins, ends)
+        # a unit of n bytes has the nodes 0..n; node numbers: begin + unit + place; edges go by end node, then piece
+        size_bits, piece_bits = int(self.longest).bit_length(), len(self.bytes).bit_length()
+        packed = ((b + np.repeat(count, lens)[a]) << (size_bits + piece_bits)) | (piece.astype(np.int64) << size_bits) | (b - a)
+        packed.sort()
+        b, piece = packed >> (size_bits + piece_bits), (packed >> size_bits) & ((1 << piece_bits) - 1)
+        a = b - (packed & ((1 << size_bits) - 1))
+        roots = begins + count
+        own = np.repeat(roots, lens + 1)[b]  # the root of each edge's unit
+        place, root = b - own, a == own
+        total = len(data) + len(ends)
         widest = int(lens.max())
-        cuts = np.searchsorted(place, np.arange(1, widest + 2))
+        order = np.argsort(place.astype(np.uint16) if widest < 1 << 16 else place, kind="stable")
+        cuts = np.concatenate(([0], np.cumsum(np.bincount(place, minlength=widest + 1)[1:])))
+        start, end = a, b
+        a, b, weight = a[order], b[order], self.edge_weight[piece[order]]  # by place, as the sums run
         if widest <= LONG:
             weight = np.exp(weight + self.tilt * (b - a))
             forward = np.zeros(total)
@@ -184,21 +222,34 @@ class Lattice:
                 share[lo:hi] = np.exp(value - np.where(np.isfinite(top), top, 0.0)[node])
                 with np.errstate(divide="ignore"):
                     forward[to[first]] = np.where(np.isfinite(top), top, 0.0) + np.log(np.add.reduceat(share[lo:hi], first))
-        alive = share > 0
-        a, b, piece, unit, share = a[alive], b[alive], piece[alive], unit[alive], share[alive]
-        order = np.argsort(b, kind="stable")
-        a, b, piece, unit, share = a[order], b[order], piece[order], unit[order], share[order]
+        by_end = np.empty(len(order))
+        by_end[order] = share
+        alive = np.flatnonzero(by_end > 0)
+        a, b, piece, root, share = start[alive], end[alive], piece[alive], root[alive], by_end[alive]
         first = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1])))
         size = np.diff(np.append(first, len(b)))
         within = self._shares(share, first, size)
-        is_root = a == begins[unit] + unit
-        shift = self.nodes
-        self.key = np.concatenate((self.key, ((b + shift) << SHARE_BITS) + within))
-        self.back = np.concatenate((self.back, np.where(is_root, -1, a + shift).astype(np.int32)))
-        self.piece = np.concatenate((self.piece, piece.astype(np.int32)))
-        self.end_node.add(hashes, ends + np.arange(len(pieces)) + shift)
+        shift, at = self.nodes, self.held
+        self._hold(at + len(b), shift + total + 1)
+        new = slice(at, at + len(b))
+        self._key[new] = ((b + shift) << SHARE_BITS) + within
+        self._back[new] = np.where(root, -1, a + shift)
+        self._piece[new] = piece
+        self._entry[b[first] + shift] = first + at
+        self.end_node.add(hashes, ends + count + shift)
+        self.held += len(b)
         self.nodes += total + 1
 
+    def _drawn(self, node: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """The edge of each node that holds the share: the first whose running sum is above it."""
+        target = (node << SHARE_BITS) + share
+        edge = self._entry[node]
+        on = np.flatnonzero(self._key[edge] <= target)
+        while len(on):
+            edge[on] += 1
+            on = on[self._key[edge[on]] <= target[on]]
+        return edge
+
     @staticmethod
     def _shares(share: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Running sums of each node's shares in fixed point, from the node's own edges alone; the last is the whole."""
@@ -299,7 +350,7 @@ class Lattice:
 
         size = end - start
         huge = np.flatnonzero(size > HUGE)
-        if len(self.key) > CACHE_EDGES:
+        if self.held > CACHE_EDGES:
             self.clear()
         node = np.full(len(start), -1, np.int64)
         for least, most in ((0, LONG), (LONG, HUGE)):
@@ -309,17 +360,20 @@ class Lattice:
             if len(unknown):
                 fresh, first = np.unique(hashes[some[unknown]], return_index=True)
                 spots = some[unknown[first]]
-                self.add(fresh, [data[x:y].tobytes() for x, y in zip(start[spots].tolist(), end[spots].tolist())])
+                for lo in range(0, len(spots), UNITS):
+                    some_new = spots[lo : lo + UNITS]
+                    lens = size[some_new]
+                    to = np.cumsum(lens)
+                    self._add(fresh[lo : lo + UNITS], data[np.arange(int(to[-1])) + np.repeat(start[some_new] - (to - lens), lens)], to)
                 known = self.end_node.find(hashes[some])
             node[some] = known
         steps: list[tuple[np.ndarray, np.ndarray]] = []
         active = np.flatnonzero(size <= HUGE)
         state = node[active]
         while len(active):
-            target = (state << SHARE_BITS) + (draws(unit_seed[active], len(steps)) * 2.0**SHARE_BITS).astype(np.int64)
-            edge = np.searchsorted(self.key, target, side="right")
-            steps.append((active, self.piece[edge]))
-            state = self.back[edge].astype(np.int64)
+            edge = self._drawn(state, (draws(unit_seed[active], len(steps)) * 2.0**SHARE_BITS).astype(np.int64))
+            steps.append((active, self._piece[edge]))
+            state = self._back[edge].astype(np.int64)
             going = state >= 0
             active, state = active[going], state[going]
         counts = np.zeros(len(start), np.int64)
@@ -351,16 +405,6 @@ class Lattice:
         return flat, ends - np.concatenate(([0], np.cumsum(np.diff(ends) > 0)))
 
 
-def _hash_spans(data: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
-    """word_hashes of spans of one length, which may overlap."""
-    power, _ = _ALL.powers()
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(start), np.uint64)
-        for j in range(n):
-            total += _ALL.values[data[start + j]] * power[j]
-        return tk.splitmix(total + np.uint64(n * 0xD6E8FEB86659FD93 & tk.MASK))
-
-
 def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row) of the units, which tile the text: a unit starts where spaces start and where control characters start or end."""
     space, control = data == _SPACE, data < _SPACE
