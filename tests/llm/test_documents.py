@@ -195,9 +195,16 @@ def test_line_removal(spark):
 
 def test_line_removal_sorts_no_texts(spark):
     rows = [(i, "menu\n\n" * (i % 3) + f"own {i}\n", "en", f"s{i}") for i in range(40)] + [(50, "\n"), (51, "\n\nmenu\n")]
-    out = line_spread.remove_boilerplate(docs(spark, rows))
-    plan = out._jdf.queryExecution().sparkPlan().toString()
-    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan, "only the removals are held, texts are not sorted"
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan(line_spread.remove_boilerplate(docs(spark, rows))), "with few removals no text is shuffled"
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        out = line_spread.remove_boilerplate(docs(spark, rows))
+        assert "SortMergeJoin" not in plan(out) and "ShuffledHashJoin" in plan(out), "only the removals are held, texts are not sorted"
+    finally:
+        spark.conf.set(name, before)
     got = by_id(out)
     assert got[1]["text"] == "menu\n\nown 1\n" and got[2]["text"] == "\n\nown 2\n" and got[3]["text"] == "own 3\n" and got[50]["text"] == "\n" and got[51]["text"] == "\n\n"
     assert [got[i]["n_lines"] for i in (1, 2, 3, 50, 51)] == [4, 6, 2, 2, 4] and [got[i]["n_removed"] for i in (1, 2, 3, 50, 51)] == [0, 2, 0, 0, 1]

@@ -91,7 +91,10 @@ def _without(docs: DataFrame, places: DataFrame, found: DataFrame, key: str, tex
         F.xxhash64(t).alias("th"),
         (F.octet_length(t) - F.octet_length(F.replace(t, F.lit("\n"), F.lit(""))) + 1).cast("bigint").alias("n_lines"),
     )
-    joined = whole.join(gone.hint("shuffle_hash"), ["k", "th"], "left")  # the few removals are held, the texts go by unsorted
+    session = docs.sparkSession._jsparkSession
+    if int(str(gone._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > session.sessionState().conf().autoBroadcastJoinThreshold():
+        gone = gone.hint("shuffle_hash")  # the removals are held, the texts go by unsorted; fewer are broadcast, and no text is shuffled
+    joined = whole.join(gone, ["k", "th"], "left")
     left = lambda lines: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda i: F.get(lines, i)), "\n")
     clean = F.when(F.col("gone").isNull(), F.col("whole")).otherwise(F.transform(F.array(F.split("whole", "\n")), left)[0])  # bound by a lambda, a text is split once
     out = joined.select(
