@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,13 +64,26 @@ def release() -> None:
     import ctypes
     import gc
 
-    gc.collect()
+    import pyarrow as pa
+
+    gc.collect(1)
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library
         pass
 
 
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a task's batches; once its own arrays are gone, ``release``: an idle worker would hold them for all later stages."""
+
+    def held(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release()
+
+    return held
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import fresh, small_batches, staged, table
+from .common import fresh, releasing, small_batches, staged, table
 
 DIM = 1024
 ROWS, CHUNK = 96, 256 << 10
@@ -138,7 +138,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", dim: int = DIM)
 
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{lang}`").cast("string").alias("l")).where("t is not null and l is not null")
-    sums = staged(rows.mapInArrow(learn, "lang string, i bigint, v double").groupBy("lang", "i").agg(F.sum("v").alias("v")), "prototypes")
+    sums = staged(rows.mapInArrow(releasing(learn), "lang string, i bigint, v double").groupBy("lang", "i").agg(F.sum("v").alias("v")), "prototypes")
     if sums.count() > MOST_LANGUAGES * dim:
         raise ValueError(f"more than {MOST_LANGUAGES} languages: their prototypes do not fit the driver")
     found = sums.collect()  # languages x dim numbers
@@ -183,7 +183,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
     kept = kept.drop("lang_pred", "score") if len(fields) != len(docs.schema.fields) else kept
     schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     out = to_arrow_schema(schema)
-    return kept.mapInArrow(label, schema)
+    return kept.mapInArrow(releasing(label), schema)
 
 
 def in_training(key) -> "F.Column":

@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import drop_staged, keyed_text, staged, table
+from .common import drop_staged, keyed_text, releasing, staged, table
 from .graph import components
 
 TREES, DEPTH, LEAST_DEPTH, NEIGHBOURS, LANES = 12, 8, 2, 2, 4
@@ -107,7 +107,7 @@ def signatures(rows: DataFrame, k: int) -> DataFrame:
                         sigs[i], heads[i] = signature(found)
             yield pa.record_batch([batch.column(0), pa.array(sizes), pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(sigs, pa.binary()), pa.array(heads, pa.binary())], ["k", "n_shingles", "d1", "d2", "sig", "heads"])
 
-    return rows.mapInArrow(sign, "k bigint, n_shingles bigint, d1 bigint, d2 bigint, sig binary, heads binary")
+    return rows.mapInArrow(releasing(sign), "k bigint, n_shingles bigint, d1 bigint, d2 bigint, sig binary, heads binary")
 
 
 def _order_columns() -> list:
@@ -187,7 +187,7 @@ def neighbours(live: DataFrame) -> DataFrame:
         if opened:
             yield made(np.zeros((0, 3), np.int64), [(part + 1, i - len(tail_k), int(tail_k[i]), tail_o[i].tobytes()) for i in range(len(tail_k))])
 
-    walked = orders.repartitionByRange("ord", "k").sortWithinPartitions("ord", "k").mapInArrow(walk, "a bigint, b bigint, same bigint, border int, at int, k bigint, ord binary")
+    walked = orders.repartitionByRange("ord", "k").sortWithinPartitions("ord", "k").mapInArrow(releasing(walk), "a bigint, b bigint, same bigint, border int, at int, k bigint, ord binary")
     walked = staged(walked, "neighbours")
 
     def across(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -220,7 +220,7 @@ def shingle_table(rows: DataFrame, k: int) -> DataFrame:
                     held, at, size = [], [], 0
             yield pa.record_batch([batch.column(0).take(pa.array(at, pa.int64())), pa.array(held, pa.binary())], ["k", "shingles"])
 
-    return rows.mapInArrow(sets, "k bigint, shingles binary")
+    return rows.mapInArrow(releasing(sets), "k bigint, shingles binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -243,7 +243,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("k").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("k").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(releasing(compare), "a bigint, b bigint")
 
 
 def _hub_pairs(live: DataFrame, active: DataFrame, comps: DataFrame) -> DataFrame:
@@ -362,7 +362,7 @@ def crowded(live: DataFrame, places: DataFrame, comps: DataFrame, floor: int) ->
         if queries is not None and wanted.any():
             yield made(0, queries, np.flatnonzero(wanted), last)
 
-    return dealt.repartition("region", "qb", "mb").sortWithinPartitions("region", "qb", "mb", "role", "k").mapInArrow(keep, "region bigint, qb int, mb int, role int, k bigint, t int, comp bigint, is_query int, sig binary, heads binary")
+    return dealt.repartition("region", "qb", "mb").sortWithinPartitions("region", "qb", "mb", "role", "k").mapInArrow(releasing(keep), "region bigint, qb int, mb int, role int, k bigint, t int, comp bigint, is_query int, sig binary, heads binary")
 
 
 def _missing_links(dealt: DataFrame, sets: DataFrame, floor: int, percent: int) -> DataFrame:
@@ -392,7 +392,7 @@ def _missing_links(dealt: DataFrame, sets: DataFrame, floor: int, percent: int)
                 yield pa.record_batch([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], ["a", "b"])
 
     rows = dealt.join(sets, "k").select(*names)
-    return rows.repartition("region", "qb", "mb").sortWithinPartitions("region", "qb", "mb", "role", "k").mapInArrow(compare, "a bigint, b bigint")
+    return rows.repartition("region", "qb", "mb").sortWithinPartitions("region", "qb", "mb", "role", "k").mapInArrow(releasing(compare), "a bigint, b bigint")
 
 
 def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:

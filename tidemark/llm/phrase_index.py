@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import keyed_text, table, work_path
+from .common import keyed_text, releasing, table, work_path
 
 SEGMENT = 8 << 20
 BLOCK_BYTES = 4 << 20
@@ -78,7 +78,7 @@ def build_index(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
                 seg += 1
 
     rows = keyed_text(docs, key, text)
-    rows.mapInArrow(segments, _INDEX).write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(releasing(segments), _INDEX).write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(_INDEX).parquet(path)
 
 
@@ -402,7 +402,7 @@ def phrase_hits(index: DataFrame, items: DataFrame, key: str = "item_id", text:
                 ["doc_id", "n_words", "runs", "item_ids", "near_ids"],
             )
 
-    return index.mapInArrow(search, "doc_id bigint, n_words bigint, runs array<struct<s:int,e:int>>, item_ids array<string>, near_ids array<string>")
+    return index.mapInArrow(releasing(search), "doc_id bigint, n_words bigint, runs array<struct<s:int,e:int>>, item_ids array<string>, near_ids array<string>")
 
 
 def phrase_matches(index: DataFrame, items: DataFrame, key: str = "item_id", text: str = "text", slop: int | None = None) -> DataFrame:
@@ -432,7 +432,7 @@ def phrase_matches(index: DataFrame, items: DataFrame, key: str = "item_id", tex
                         rows = []
                 yield _match_batch(rows)
 
-    return index.mapInArrow(search, "doc_id bigint, item_id string, start bigint, size bigint")
+    return index.mapInArrow(releasing(search), "doc_id bigint, item_id string, start bigint, size bigint")
 
 
 def _match_batch(rows: list[tuple]) -> pa.RecordBatch:

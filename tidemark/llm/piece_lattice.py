@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import fresh, release, small_batches, table
+from .common import fresh, releasing, small_batches, table
 
 CHUNK = 768 << 10
 LONG, HUGE, PLACES = 64, 4096, 32 << 10
@@ -448,12 +448,11 @@ def encode(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "t
                 columns += [pa.array(np.diff(per_row)), pa.array(crcs, pa.int64()), pa.array(same)]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) if c.type != f.type else c for c, f in zip(columns, arrow)], schema=arrow)
         lattice.clear()
-        release()
 
     small_batches(docs.sparkSession)
     kept = docs.drop(*[m for m in made if m in docs.columns])
     k, t = fresh(docs, "k", "t")
-    return kept.select("*", F.col(f"`{key}`").cast("bigint").alias(k), F.col(f"`{text}`").cast("string").alias(t)).mapInArrow(run, schema)
+    return kept.select("*", F.col(f"`{key}`").cast("bigint").alias(k), F.col(f"`{text}`").cast("string").alias(t)).mapInArrow(releasing(run), schema)
 
 
 def decode(pieces: DataFrame, model_path: str, column: str = "pieces", out: str = "text") -> DataFrame:

@@ -8,12 +8,13 @@ text; what is returned grows with the number of words.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 MASK = (1 << 64) - 1
 _P = 0x9E3779B97F4A7C15 | 1
 _P_INV = pow(_P, -1, 1 << 64)
@@ -43,6 +44,12 @@ def _powers(base: int, n: int) -> np.ndarray:
         return np.multiply.accumulate(out)
 
 
+@functools.lru_cache(1)
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash's base and of its inverse: one pair for all byte classes of a worker."""
+    return _powers(_P, n), _powers(_P_INV, n)
+
+
 class ByteClass:
     """Which bytes make words, and whether A-Z count as a-z."""
 
@@ -52,13 +59,9 @@ class ByteClass:
         if lower:
             values[65:91] = values[97:123]
         self.values = np.where(self.is_word, values, np.uint64(0))
-        self._pow: np.ndarray | None = None
-        self._inv: np.ndarray | None = None
 
     def powers(self) -> tuple[np.ndarray, np.ndarray]:
-        if self._pow is None:
-            self._pow, self._inv = _powers(_P, BLOCK + 1), _powers(_P_INV, BLOCK + 1)
-        return self._pow, self._inv
+        return _power_tables(BLOCK + 1)
 
 
 def _bytes(*ranges: tuple[int, int]) -> np.ndarray:
