@@ -8,11 +8,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.helpers import against_sql, by_id, docs, words
 
 from tidemark.llm import graph, huffman, hyperlang, license_rules, line_spread, lsh_forest, phrase_index, piece_lattice, robust_quality
+from tidemark.llm import textkernel as tk
 from tidemark.llm.common import table, work_path
 
 SF = "/root/testdata/sf0.001"
@@ -273,6 +275,76 @@ def test_ids_of_an_empty_table(spark):
     assert huffman.read_encoded(spark, out).count() == 0
 
 
+def _units_one_by_one(row):
+    """The units of a row, and which are looked up whole, character by character."""
+    out = []
+    for word in re.findall(r"[^\x20\x09-\x0D]+", row):
+        kinds = ["letter" if re.match("[A-Za-zÀ-ÖØ-öø-įı-ſ]", c) else "digit" if re.match("[0-9]", c) else "sign" if "!" <= c <= "~" and c not in "'<" else "odd" for c in word]
+        if "odd" in kinds:
+            out.append((word, True))
+            continue
+        for i, (c, kind) in enumerate(zip(word, kinds)):
+            if i and kind == kinds[i - 1] != "digit":
+                out[-1] = (out[-1][0] + c, False)
+            else:
+                out.append((c, False))
+    return out
+
+
+def test_units_of_rows_equal_those_found_one_by_one():
+    import public_tokenizers
+
+    encoder = huffman.TextEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(11)
+    for _ in range(600):
+        rows = ["".join(rng.choices("abAB 12 9\t\n\x00\x7f'<>.,-éÉ×÷İıſĀ文\U0001F600", k=rng.choice((0, 1, 3, 12, 40)))) for _ in range(rng.randrange(6))]
+        data, offsets = tk.string_buffers(pa.array(rows, pa.string()))
+        start, end, row, whole = encoder.units(data, offsets)
+        got = [(int(r), data[s:e].tobytes().decode(), bool(w)) for s, e, r, w in zip(start, end, row, whole)]
+        assert got == [(i, *unit) for i, text in enumerate(rows) for unit in _units_one_by_one(text)]
+
+
+def test_unknown_units_go_to_the_tokenizer_in_texts_of_bounded_size():
+    import public_tokenizers
+
+    encoder = huffman.TextEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    tokenizer, sizes = encoder.tokenizer, []
+
+    class Seen:
+        @staticmethod
+        def encode_batch_fast(texts, **options):
+            sizes.extend(len(t.split()) for t in texts)
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Seen
+    words = sorted({"".join(random.Random(i).choices("abcdefgh", k=8)) for i in range(9000)})
+    data, offsets = tk.string_buffers(pa.array([" ".join(words)]))
+    _, form, ids, starts = encoder.lookup(data, offsets)
+    got, _ = huffman.gather(ids, starts, form)
+    assert got.tolist() == tokenizer.encode(" ".join(words), add_special_tokens=False).ids
+    assert sum(sizes) == len(words) and max(sizes) <= 2000
+
+
+def test_cutting_units_costs_less_than_twice_their_hashing():
+    import time
+
+    import public_tokenizers
+
+    encoder = huffman.TextEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    data, offsets = tk.string_buffers(pa.array(["plain words of 12 letters, and étude " * 100] * 500))
+    start, end, _, _ = encoder.units(data, offsets)
+
+    def least(run):
+        took = []
+        for _ in range(7):
+            began = time.thread_time()
+            run()
+            took.append(time.thread_time() - began)
+        return min(took)
+
+    assert least(lambda: encoder.units(data, offsets)) < 2 * least(lambda: tk.word_hashes(data, start, end, encoder._lower))
+
+
 # --- languages -----------------------------------------------------------------------------------
 
 

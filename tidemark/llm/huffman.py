@@ -39,6 +39,8 @@ from .common import keyed_text, table, work_path
 STRIDE = 128
 CHUNK = 2 << 20
 CACHE = 800_000
+#: Unknown units in one text for the tokenizer: longer ones cost it more a unit.
+TOGETHER = 2000
 
 
 def _kinds() -> np.ndarray:
@@ -64,6 +66,7 @@ class TextEncoder:
 
     _one: dict[str, "TextEncoder"] = {}
     _kind = _kinds()
+    _kind_of = _kind.tobytes()
     _lower = tk.ByteClass(_kind != 0, lower=True)
 
     def __init__(self, path: str):
@@ -91,42 +94,53 @@ class TextEncoder:
 
     def units(self, data: np.ndarray, offsets: np.ndarray):
         """(start, end, row, looked up whole) of the units of the rows."""
-        start, end, row = tk.word_spans(data, offsets, self._lower)
-        if not len(start):
-            return start, end, row, np.zeros(0, bool)
-        kind = self._kind[data]
+        kind = np.frombuffer(bytearray(data.tobytes()).translate(self._kind_of), np.uint8)
+        none = np.zeros(0, np.int64)
+        if not kind.any():
+            return none, none, none, np.zeros(0, bool)
         lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC5))
         if len(lead):  # U+00C0 to U+017F are letters but for two signs; U+0130 lower-cases to two characters
             point = data[lead + 1].astype(np.int64) + (data[lead].astype(np.int64) << 8)
             lead = lead[~np.isin(point, (0xC397, 0xC3B7, 0xC4B0))]
             kind[lead] = kind[lead + 1] = 1
-        odd = np.concatenate(([0], np.cumsum(kind == 4)))
-        whole = odd[end] > odd[start]
+        # a change of kind is a cut, in a word and at its borders; so are single digits and the rows' borders
         cut = np.empty(len(data), bool)
-        cut[0] = False
-        cut[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
-        cut &= kind != 0
-        if whole.any():
-            inside = np.zeros(len(data) + 1, np.int8)
-            inside[start[whole]] += 1
-            inside[end[whole]] -= 1
-            cut &= np.cumsum(inside[:-1]) == 0
-        cut[start] = True
+        cut[0] = True
+        np.not_equal(kind[1:], kind[:-1], out=cut[1:])
+        cut[1:] |= kind[1:] == 2
+        borders = offsets[1:-1]
+        cut[borders[borders < len(data)]] = True
         begins = np.flatnonzero(cut)
-        word = np.searchsorted(start, begins, side="right") - 1
-        ends = np.append(begins[1:], 0)
-        last = np.append(word[1:] != word[:-1], True)
-        ends[last] = end
-        return begins, ends, row[word], whole[word]
+        kinds = kind[begins]
+        rows = np.searchsorted(begins, offsets[:-1])
+        opens = np.empty(len(begins), bool)  # runs that start a word: behind white space or at a row's start
+        opens[0] = True
+        np.equal(kinds[:-1], 0, out=opens[1:])
+        opens[rows[rows < len(begins)]] = True
+        opens &= kinds != 0
+        ends = np.append(begins[1:], len(data))
+        row = np.repeat(np.arange(len(rows)), np.diff(np.append(rows, len(begins))))
+        if (kinds == 4).any():
+            used = np.flatnonzero(kinds)
+            first = np.flatnonzero(opens[used])
+            whole = np.bitwise_or.reduceat(kinds[used] == 4, first)
+            size = np.diff(np.append(first, len(used)))
+            ends[used[first]] = np.where(whole, ends[used[first + size - 1]], ends[used[first]])
+            inner = np.repeat(whole, size)
+            keep = ~inner | opens[used]
+            return begins[used[keep]], ends[used[keep]], row[used[keep]], inner[keep]
+        used = np.flatnonzero(kinds)
+        return begins[used], ends[used], row[used], np.zeros(len(used), bool)
 
     def _encode(self, raw: bytes, start: list[int], end: list[int], whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and number of ids of units: the plain ones in one call, told apart by their last pieces."""
+        """Ids and number of ids of units: the plain ones many to a text, told apart by their last pieces."""
         run = self.tokenizer.encode_batch_fast
         sizes = np.zeros(len(start), np.int64)
         parts: list = [None] * len(start)
         plain = np.flatnonzero(~whole)
-        text = b" ".join([raw[start[i] : end[i]] for i in plain.tolist()]).decode("utf-8", "replace")
-        got = np.array(run([text], add_special_tokens=False)[0].ids, np.uint32)
+        words = [raw[start[i] : end[i]] for i in plain.tolist()]
+        texts = [b" ".join(words[i : i + TOGETHER]).decode("utf-8", "replace") for i in range(0, len(words), TOGETHER)]
+        got = np.concatenate([np.zeros(0, np.uint32), *(np.array(x.ids, np.uint32) for x in run(texts, add_special_tokens=False))])
         lasts = np.flatnonzero(self.ends_word[got])
         if len(lasts) != len(plain):
             raise ValueError("a pre-token has no single last piece: this tokenizer does not mark word ends")
@@ -237,18 +251,17 @@ def encode_block(ids: np.ndarray, code: Code) -> tuple[bytes, bytes]:
     ends = np.cumsum(bits)
     offsets = ends - bits
     total = int(ends[-1]) if len(ends) else 0
-    size = (total + 7) // 8 + 8
-    out = np.zeros(size, np.uint8)
-    for a in range(0, len(ids), 1 << 18):
-        part = slice(a, a + (1 << 18))
-        word = code.codes[ids[part]].astype(np.uint64) << (np.uint64(32) - (offsets[part] & 7).astype(np.uint64) - bits[part].astype(np.uint64))
-        byte = offsets[part] >> 3
-        base = int(byte[0])
-        for k in range(4):
-            piece = (word >> np.uint64(24 - 8 * k)) & np.uint64(255)
-            sums = np.bincount(byte - base + k, weights=piece.astype(np.float64)).astype(np.uint8)
-            out[base : base + len(sums)] |= sums
-    return out[: (total + 7) // 8].tobytes(), offsets[::STRIDE].astype("<u4").tobytes()
+    out = np.zeros(total // 32 + 3, np.uint32)
+    for a in range(0, len(ids), 1 << 16):
+        at, width = offsets[a : a + (1 << 16)], bits[a : a + (1 << 16)]
+        # each code in 64 bits from its 32-bit word on; codes that start in one word share no bit, so their sum joins them
+        code64 = code.codes[ids[a : a + (1 << 16)]].astype(np.uint64) << (64 - (at & 31) - width).astype(np.uint64)
+        word = at >> 5
+        first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+        sums, word = np.add.reduceat(code64, first), word[first]
+        out[word] |= (sums >> np.uint64(32)).astype(np.uint32)
+        out[word + 1] |= sums.astype(np.uint32)
+    return out.astype(">u4").tobytes()[: (total + 7) // 8], offsets[::STRIDE].astype("<u4").tobytes()
 
 
 def decode_block(payload: bytes, marks: bytes, n: int, decode_table: np.ndarray, max_bits: int) -> np.ndarray:
