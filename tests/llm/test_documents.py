@@ -325,6 +325,31 @@ def test_unknown_units_go_to_the_tokenizer_in_texts_of_bounded_size():
     assert sum(sizes) == len(words) and max(sizes) <= 2000
 
 
+def test_units_found_again_stay_when_room_is_made(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(huffman, "CACHE", 400)
+    encoder = huffman.TextEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    tokenizer, met = encoder.tokenizer, Counter()
+
+    class Seen:
+        @staticmethod
+        def encode_batch_fast(texts, **options):
+            met.update(w for t in texts for w in t.split())
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Seen
+    rng = random.Random(2)
+    common = sorted({"".join(rng.choices("abcdefgh", k=7)) for _ in range(90)})
+    for size in [100] * 12 + [600, 100]:  # 600: more than the cache holds
+        text = " ".join([*common, *("".join(rng.choices("ijklmnop", k=9)) for _ in range(size)), "日本" + rng.choice("中文")])
+        data, offsets = tk.string_buffers(pa.array([text]))
+        _, form, ids, starts = encoder.lookup(data, offsets)
+        assert huffman.gather(ids, starts, form)[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert encoder.slots.count == len(encoder.offsets) - 1 == len(encoder.again) <= max(400, size + 200)
+    assert max(met[w] for w in common) == 1
+
+
 def test_cutting_units_costs_less_than_twice_their_hashing():
     import time
 

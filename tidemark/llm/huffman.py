@@ -91,6 +91,20 @@ class TextEncoder:
     def clear(self) -> None:
         self.slots = tk.HashTable()
         self.ids, self.offsets = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.again = np.zeros(0, bool)  # of each slot: whether it was found since room was made
+
+    def make_room(self) -> None:
+        """Drops what was not found again since the last time; everything, if that leaves more than half of CACHE."""
+        used = np.flatnonzero(self.slots.keys)
+        used = used[self.again[self.slots.values[used]]]
+        hashes, old = self.slots.keys[used], self.slots.values[used]
+        ids, offsets = self.ids, self.offsets
+        self.clear()
+        if len(old) <= CACHE // 2:
+            self.slots.add(hashes, np.arange(len(old)))
+            self.ids, lens = gather(ids, offsets, old)
+            self.offsets = np.concatenate(([0], np.cumsum(lens)))
+            self.again = np.zeros(len(old), bool)
 
     def units(self, data: np.ndarray, offsets: np.ndarray):
         """(start, end, row, looked up whole) of the units of the rows."""
@@ -165,11 +179,12 @@ class TextEncoder:
             hashes[odd] = tk.splitmix(tk.word_hashes(data, start[odd], end[odd], tk.SPACED_EXACT))
         slot = self.slots.find(hashes)
         unknown = np.flatnonzero(slot < 0)
-        if len(unknown) and self.slots.count + len(unknown) > CACHE and self.slots.count:
-            fresh_count = len(np.unique(hashes[unknown]))
-            if self.slots.count + fresh_count > CACHE:  # make room; what this chunk uses is encoded again
-                self.clear()
-                unknown = np.arange(len(hashes))
+        if len(unknown) and self.slots.count + len(unknown) > CACHE and self.slots.count and self.slots.count + len(np.unique(hashes[unknown])) > CACHE:
+            self.again[np.delete(slot, unknown)] = True
+            self.make_room()
+            slot = self.slots.find(hashes)
+            unknown = np.flatnonzero(slot < 0)
+        self.again[slot if not len(unknown) else np.delete(slot, unknown)] = True
         if len(unknown):
             fresh, first, inverse = np.unique(hashes[unknown], return_index=True, return_inverse=True)
             spots = unknown[first]
@@ -178,6 +193,7 @@ class TextEncoder:
             self.slots.add(fresh, np.arange(base, base + len(fresh)))
             self.ids = np.concatenate((self.ids, ids))
             self.offsets = np.concatenate((self.offsets, self.offsets[-1] + np.cumsum(sizes)))
+            self.again = np.concatenate((self.again, np.zeros(len(fresh), bool)))
             slot[unknown] = base + inverse
         return row, slot, self.ids, self.offsets
 
