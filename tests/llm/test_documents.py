@@ -15,7 +15,7 @@ from tests.llm.helpers import against_sql, by_id, docs, words
 
 from tidemark.llm import graph, huffman, hyperlang, license_rules, line_spread, lsh_forest, phrase_index, piece_lattice, robust_quality
 from tidemark.llm import textkernel as tk
-from tidemark.llm.common import table, work_path
+from tidemark.llm.common import settings, table, work_path
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -275,6 +275,53 @@ def test_ids_of_an_empty_table(spark):
     assert huffman.read_encoded(spark, out).count() == 0
 
 
+def test_texts_and_blocks_pass_in_small_steps(spark, monkeypatch):
+    import public_tokenizers
+    import pyarrow.dataset as ds
+
+    def measured(run):
+        def held(batches):
+            def small(batch):
+                assert batch.slice(0, batch.num_rows - 1).nbytes < 5 << 18, "the row that reaches the limit is the last"
+                return batch
+
+            yield from run(map(small, batches))
+
+        wrapped.append(run.__name__)
+        return held
+
+    wrapped = []
+    monkeypatch.setattr(huffman, "releasing", measured)
+    path, out = public_tokenizers.path("word_bpe_49k.json"), work_path(spark, "t7s")
+    text = "".join(random.Random(5).choices("abcdefgh \n", k=8_000))
+    rows = [(i, f"{i} {text}") for i in range(700)] + [(700, text * 400)]
+    name, other = "spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxBytesPerBatch"
+    huffman.write_encoded(docs(spark, rows, 1), out, path, block_ids=1 << 15)
+    assert spark.conf.get(name, None) is None, "a setting of the writer stays behind"
+    files = list(ds.dataset(out.removeprefix("file:") + "/blocks").get_fragments())
+    groups = [f.metadata.row_group(i).num_rows for f in files for i in range(f.metadata.num_row_groups)]
+    assert sum(groups) > 16 and max(groups) <= 8
+    before = spark.conf.get(other, None)
+    try:
+        got = huffman.read_encoded(spark, out).orderBy("doc_id").collect()
+    finally:
+        if before is None:
+            spark.conf.unset(other)
+    encoder = huffman.TextEncoder(path)
+    sizes = [len(encoder.tokenizer.encode(t, add_special_tokens=False).ids) + 1 for _, t in rows[::100]]
+    assert [r["n_tokens"] for r in got[::100]] == sizes and len(got) == len(rows)
+    assert wrapped == ["count", "encode", "decode"]
+
+
+def test_settings_hold_for_a_block_and_leave_what_the_user_set(spark):
+    own, chosen = "spark.sql.parquet.columnarReaderBatchSize", "spark.sql.shuffle.partitions"
+    before = spark.conf.get(chosen)
+    with pytest.raises(KeyError), settings(spark, {own: "256", chosen: "977"}):
+        assert spark.conf.get(own) == "256" and spark.conf.get(chosen) == before
+        raise KeyError
+    assert spark.conf.get(own, None) is None and spark.conf.get(chosen) == before
+
+
 def _units_one_by_one(row):
     """The units of a row, and which are looked up whole, character by character."""
     out = []

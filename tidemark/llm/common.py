@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,19 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, "2000")
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs of a block; what the user has set stays as it is."""
+    own = [name for name in values if spark.conf.get(name, None) is None]
+    for name in own:
+        spark.conf.set(name, values[name])
+    try:
+        yield
+    finally:
+        for name in own:
+            spark.conf.unset(name)
+
+
 def release() -> None:
     """Hands freed memory of this worker back to the system, so that workers of other operators have it."""
     import ctypes

@@ -34,13 +34,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as tk
-from .common import keyed_text, table, work_path
+from .common import keyed_text, releasing, settings, table, work_path
 
 STRIDE = 128
 CHUNK = 2 << 20
 CACHE = 800_000
 #: Unknown units in one text for the tokenizer: longer ones cost it more a unit.
 TOGETHER = 2000
+#: Texts and blocks pass in small steps: so many rows of a usual batch take an executor some hundred MB of buffers.
+STEP_BYTES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 20)}
+STEP_ROWS = {"spark.sql.parquet.columnarReaderBatchSize": "256"}
+#: Blocks in a row group, of which a reader takes one at a time.
+GROUP = 8
 
 
 def _kinds() -> np.ndarray:
@@ -322,7 +327,7 @@ def count_ids(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         used = np.flatnonzero(total)
         yield pa.record_batch([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
-    return docs.select("t").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return docs.select("t").mapInArrow(releasing(count), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 _BLOCKS = "part int, block int, start_in_part bigint, n_ids bigint, doc_ids array<bigint>, doc_lens array<bigint>, payload binary, marks binary"
@@ -330,6 +335,11 @@ _BLOCKS = "part int, block int, start_in_part bigint, n_ids bigint, doc_ids arra
 
 def write_encoded(docs: DataFrame, path: str, tokenizer_path: str, key: str = "doc_id", text: str = "text", end_id: int = 1, max_bits: int = 18, block_ids: int = 1 << 17) -> None:
     """Encodes every text with the tokenizer and writes the dataset described above to ``path``."""
+    with settings(docs.sparkSession, STEP_BYTES | STEP_ROWS):
+        _write_encoded(docs, path, tokenizer_path, key, text, end_id, max_bits, block_ids)
+
+
+def _write_encoded(docs: DataFrame, path: str, tokenizer_path: str, key: str, text: str, end_id: int, max_bits: int, block_ids: int) -> None:
     spark = docs.sparkSession
     rows = keyed_text(docs, key, text)
     counted = count_ids(rows, tokenizer_path).collect()  # at most one row an id of the vocabulary
@@ -383,11 +393,14 @@ def write_encoded(docs: DataFrame, path: str, tokenizer_path: str, key: str = "d
             yield close()
 
     ordered = rows.withColumn("h", F.xxhash64("t"))  # rows that repeat a key have an order and can be dealt out too
-    ordered.repartitionByRange("k", "h").sortWithinPartitions("k", "h").select("k", "t").mapInArrow(encode, _BLOCKS).write.parquet(f"{path}/blocks")
+    ordered.repartitionByRange("k", "h").sortWithinPartitions("k", "h").select("k", "t").mapInArrow(releasing(encode), _BLOCKS).write.option("parquet.block.row.count.limit", GROUP).parquet(f"{path}/blocks")
 
 
 def read_encoded(spark: SparkSession, path: str, with_ids: bool = False, max_bits: int = 18) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 (and ids) of every document, decoded from the files at ``path``."""
+    for name, value in STEP_BYTES.items():  # stays set, since the rows are read later
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
     code_rows = spark.read.parquet(f"{path}/code").collect()  # one row an id of the vocabulary
     lengths = np.zeros(max([0, *(r["id"] for r in code_rows)]) + 1, np.uint8)
     for r in code_rows:
@@ -416,7 +429,7 @@ def read_encoded(spark: SparkSession, path: str, with_ids: bool = False, max_bit
                     columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(ids.astype(np.int32))))
                 yield pa.record_batch(columns, ["doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids])
 
-    return blocks.select("part", "start_in_part", "n_ids", "doc_ids", "doc_lens", "payload", "marks").mapInArrow(decode, schema)
+    return blocks.select("part", "start_in_part", "n_ids", "doc_ids", "doc_lens", "payload", "marks").mapInArrow(releasing(decode), schema)
 
 
 def op7_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
