@@ -397,6 +397,17 @@ def test_units_found_again_stay_when_room_is_made(monkeypatch):
     assert max(met[w] for w in common) == 1
 
 
+def test_the_table_of_units_has_room_for_the_whole_cache_from_the_start(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(huffman, "CACHE", 100_000)
+    encoder = huffman.TextEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    keys = encoder.slots.keys
+    for part in np.split(tk.stream(8, huffman.CACHE), 10):
+        encoder.slots.add(part, np.arange(len(part)))
+    assert encoder.slots.keys is keys and len(keys) <= 4 * huffman.CACHE
+
+
 def test_cutting_units_costs_less_than_twice_their_hashing():
     import time
 

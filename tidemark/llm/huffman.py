@@ -94,7 +94,7 @@ class TextEncoder:
         return cls._one[path]
 
     def clear(self) -> None:
-        self.slots = tk.HashTable()
+        self.slots = tk.HashTable((2 * CACHE).bit_length())  # the whole cache fits without growing
         self.ids, self.offsets = np.zeros(0, np.uint32), np.zeros(1, np.int64)
         self.again = np.zeros(0, bool)  # of each slot: whether it was found since room was made
 
